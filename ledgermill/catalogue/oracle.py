@@ -106,7 +106,7 @@ raw AS (
     {cents("l_extendedprice * (1 - l_discount)")} AS mtd_lcl_amount,
     l_extendedprice AS mtd_rpt_amount, {zero},
     {cents("l_extendedprice * 2")} AS ytd_ccy_amount_rebased,
-    {cents("l_extendedprice * (1 + l_tax) * (1 - l_discount)")} AS ytd_lcl_amount_rebased,
+    {cents("l_extendedprice * (2 - l_discount)")} AS ytd_lcl_amount_rebased,
     {cents("l_extendedprice * (1 + l_tax)")} AS ytd_rpt_amount_rebased,
     l_quantity * 3 AS mtdab_ccy, l_quantity * 2 - 2 AS mtdab_lcl, l_quantity - 1 AS mtdab_rpt,
     l_quantity * 4 AS ytdab_ccy, l_quantity * 5 - 10 AS ytdab_lcl, l_quantity + 1 AS ytdab_rpt,
@@ -490,7 +490,7 @@ def statements() -> dict[str, str]:
     out["null_defaults"] = (
         f"{month} SELECT CASE WHEN category_code = '30030' THEN '00000' ELSE category_code END AS category_code, "
         f"contract_id = '0000000' AS no_contract, {n}, "
-        + sum_amount("CASE WHEN avg_book_bal_mtd_aed = 0 THEN avg_book_bal_ytd_aed ELSE avg_book_bal_mtd_aed END",
+        + sum_amount("CASE WHEN avg_book_bal_mtd_aed = 0 THEN 1.5 ELSE avg_book_bal_mtd_aed END",
                      "avg_book_bal_mtd_aed") + " FROM led GROUP BY ALL")
     out["reshape_projection"] = (
         f"{month} SELECT final_segment AS department_id, category_code AS product_code, "

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from .. import chart, schemas, testmap
 from ..functions import calendar, codes
 from ..functions.money import exact_sum
+from ..functions.sql import with_exprs
 from ..operators import anchor, asof, compare, lines, lookup, measures, reconcile, rollup, tags
 from ..plans import base as base_plan
 from ..plans import gl as gl_plan
 from ..plans.pipeline import Mart
 from ..plans.trial_balance import trial_balance
-from ..session import fresh_folder, literal_rows
+from ..session import fresh_folder
 from ..sources import dims, ingest
 from ..sources.placeholder import placeholder
 from ..sources.store import FactStore
@@ -29,12 +30,12 @@ def query(run: Query) -> Query:
     return run
 
 
-def count() -> F.Column:
-    return F.count(F.lit(1)).alias("n_rows")
+def count():
+    return F.expr("count(1) AS n_rows")
 
 
 def total(name: str, alias: str | None = None):
-    return exact_sum(F.col(name)).alias(alias or name)
+    return F.expr(f"{exact_sum(name)} AS {alias or name}")
 
 
 def base_of(spark: SparkSession, d: str) -> DataFrame:
@@ -81,8 +82,8 @@ def ingest_row_id_check(spark, d):
     parsed = _parsed(spark, d)
     ids = ingest.accepted(parsed).groupBy("row_id").agg(count())
     return ids.agg(
-        F.sum("n_rows").alias("n_rows"), F.count(F.lit(1)).alias("n_row_ids"),
-        F.count(F.when(F.col("n_rows") > 1, 1)).alias("n_repeated_ids"),
+        F.expr("sum(n_rows) AS n_rows"), F.expr("count(1) AS n_row_ids"),
+        F.expr("count_if(n_rows > 1) AS n_repeated_ids"),
     )
 
 
@@ -100,11 +101,9 @@ def dim_collapse(spark, d):
 # -- store -----------------------------------------------------------------------------
 def _facts(spark: SparkSession, d: str, factor: int = 1) -> DataFrame:
     rows = testmap.ledger(spark, d, grain="year")
-    return rows.select(
-        "time_key", "amount_class", F.substring("domain_id", 1, 1).alias("domain_id"),
-        "gl_account_id", "contract_id",
-        (F.col("outstanding_balance_mtd_aed") * factor).alias("mtd_aed"),
-    )
+    return rows.selectExpr(
+        "time_key", "amount_class", "substring(domain_id, 1, 1) AS domain_id",
+        "gl_account_id", "contract_id", f"outstanding_balance_mtd_aed * {factor} AS mtd_aed")
 
 
 def _new_store(spark: SparkSession) -> FactStore:
@@ -112,7 +111,7 @@ def _new_store(spark: SparkSession) -> FactStore:
 
 
 def _even_years(rows: DataFrame) -> DataFrame:
-    return rows.where(F.expr("time_key div 10000 % 2 = 0"))
+    return rows.where("time_key div 10000 % 2 = 0")
 
 
 def _by_version(rows: DataFrame, *more: str) -> DataFrame:
@@ -158,7 +157,7 @@ def store_read_optional(spark, d):
     store.publish(rows)
     # Every year end looks for the one before it; the first finds nothing.
     wanted = [p - 10000 for p in store.periods()]
-    return _by_version(store.read_optional(wanted, rows.withColumn("version_id", F.lit(1)).limit(0)))
+    return _by_version(store.read_optional(wanted, rows.selectExpr("*", "1 AS version_id").where("false")))
 
 
 @query
@@ -205,26 +204,20 @@ def placeholder_dataset(spark, d):
 # -- projections and filters --------------------------------------------------------------
 @query
 def split_composite_code(spark, d):
-    key = F.col("c_custkey").cast("string")
-    code = (
-        F.when(F.col("c_custkey") % 5 == 0, key)
-        .when(F.col("c_custkey") % 5 == 1, F.concat(F.lit("#"), key))
-        .when(F.col("c_custkey") % 5 == 2, F.concat(F.lit(" a #b#"), key))
-        .when(F.col("c_custkey") % 5 == 3, F.lit(None))
-        .otherwise(F.concat_ws("#", "c_mktsegment", key))
-    )
-    return testmap.table(spark, d, "customer").select(
-        "c_custkey", codes.code_type(code).alias("code_type"), codes.code_id(code).alias("code_id"))
+    code = ("CASE c_custkey % 5 WHEN 0 THEN CAST(c_custkey AS STRING) WHEN 1 THEN concat('#', c_custkey) "
+            "WHEN 2 THEN concat(' a #b#', c_custkey) WHEN 3 THEN NULL "
+            "ELSE concat(c_mktsegment, '#', c_custkey) END AS code")
+    return testmap.table(spark, d, "customer").selectExpr("c_custkey", code).selectExpr(
+        "c_custkey", f"{codes.code_type('code')} AS code_type", f"{codes.code_id('code')} AS code_id")
 
 
 @query
 def derived_keys(spark, d):
-    nation = F.when(F.col("c_nationkey") % 5 != 0, F.col("c_nationkey"))
-    return testmap.table(spark, d, "customer").select(
+    nation = "CASE WHEN c_nationkey % 5 <> 0 THEN c_nationkey END"
+    return testmap.table(spark, d, "customer").selectExpr(
         "c_custkey",
-        codes.joined_key(["c_name", "c_mktsegment", nation]).alias("customer_key"),
-        codes.joined_key(["c_custkey", F.coalesce(nation, F.lit(0))]).alias("defaulted_key"),
-    )
+        f"{codes.joined_key(['c_name', 'c_mktsegment', nation])} AS customer_key",
+        f"{codes.joined_key(['c_custkey', f'coalesce({nation}, 0)'])} AS defaulted_key")
 
 
 @query
@@ -240,8 +233,8 @@ def _with_domain(spark, d):
 
 @query
 def scenario_split(spark, d):
-    added = measures.scenario_columns(F.col("dom_l1"))
-    rows = _with_domain(spark, d).withColumns(added)
+    added = measures.scenario_columns("dom_l1")
+    rows = with_exprs(_with_domain(spark, d), added)
     return rows.groupBy("time_key", "domain_id").agg(*[total(n) for n in added])
 
 
@@ -259,16 +252,12 @@ def rwa_total(spark, d):
 
 @query
 def null_defaults(spark, d):
-    rows = testmap.ledger(spark, d).withColumns({
-        "contract_id": F.nullif("contract_id", F.lit("0000000")),
-        "category_code": F.nullif("category_code", F.lit("30030")),
-        "avg_book_bal_mtd_aed": F.nullif("avg_book_bal_mtd_aed", F.lit(0.0)),
-    })
-    rows = rows.withColumns(codes.null_defaults({
-        "contract_id": chart.NO_CONTRACT, "category_code": chart.NO_CATEGORY,
-        "avg_book_bal_mtd_aed": F.col("avg_book_bal_ytd_aed"),
-    }))
-    return rows.groupBy("category_code", (F.col("contract_id") == chart.NO_CONTRACT).alias("no_contract")).agg(
+    rows = with_exprs(testmap.ledger(spark, d), {
+        "contract_id": "nullif(contract_id, '0000000')", "category_code": "nullif(category_code, '30030')",
+        "avg_book_bal_mtd_aed": "nullif(avg_book_bal_mtd_aed, 0)"})
+    rows = with_exprs(rows, codes.null_defaults({
+        "contract_id": chart.NO_CONTRACT, "category_code": chart.NO_CATEGORY, "avg_book_bal_mtd_aed": 1.5}))
+    return rows.groupBy("category_code", F.expr(f"contract_id = '{chart.NO_CONTRACT}' AS no_contract")).agg(
         count(), total("avg_book_bal_mtd_aed"))
 
 
@@ -282,21 +271,19 @@ def reshape_projection(spark, d):
 
 @query
 def constant_tags(spark, d):
-    rows = testmap.ledger(spark, d).select(
-        "domain_id", F.lit("BASE").alias("dataset"), F.lit(3).alias("version_id"),
-        F.lit("Y").alias("last_refresh_flag"), F.lit("BS").alias("bs_pl_flag"))
+    rows = testmap.ledger(spark, d).selectExpr(
+        "domain_id", "'BASE' AS dataset", "3 AS version_id", "'Y' AS last_refresh_flag", "'BS' AS bs_pl_flag")
     return rows.groupBy(*rows.columns).agg(count())
 
 
 @query
 def schema_padding(spark, d):
     rows = classified(spark, d)
-    wide = base_plan.balance_rows(rows).select("time_key", "bs_pl_flag", "mtd_aed",
-                                               F.col("mtd_lcy").alias("net_pl"))
+    wide = base_plan.balance_rows(rows).selectExpr("time_key", "bs_pl_flag", "mtd_aed", "mtd_lcy AS net_pl")
     narrow = base_plan.pl_rows(rows).select("time_key", "bs_pl_flag", "mtd_aed")
     both = wide.unionByName(narrow, allowMissingColumns=True)
     return both.groupBy("time_key", "bs_pl_flag").agg(
-        count(), F.count("net_pl").alias("n_net_pl"), total("mtd_aed"), total("net_pl"))
+        count(), F.expr("count(net_pl) AS n_net_pl"), total("mtd_aed"), total("net_pl"))
 
 
 @query
@@ -309,7 +296,7 @@ def scope_filters(spark, d):
         "n_not_total": "gl_account_id NOT LIKE '1%'",
     }
     return classified(spark, d).groupBy("legal_entity").agg(
-        *[F.count(F.when(F.expr(t), 1)).alias(n) for n, t in tests.items()])
+        *[F.expr(f"count_if({t}) AS {n}") for n, t in tests.items()])
 
 
 def _tag_rows(spark, d):
@@ -319,7 +306,7 @@ def _tag_rows(spark, d):
 @query
 def eligibility_filter(spark, d):
     rows = lookup.star(_tag_rows(spark, d), testmap.dimensions(spark, d).for_tags().branches())
-    return rows.where(tags.eligible()).groupBy("domain_id", "customer_segment_code", "final_segment").agg(
+    return rows.where(chart.TAG_ELIGIBLE).groupBy("domain_id", "customer_segment_code", "final_segment").agg(
         count(), total("outstanding_balance_mtd_aed"))
 
 
@@ -351,13 +338,11 @@ def pl_rollup(spark, d):
 
 @query
 def annualised_margin(spark, d):
-    date = calendar.key_to_date(F.col("time_key"))
-    return testmap.ledger(spark, d).select("row_id", *[
+    return testmap.ledger(spark, d).selectExpr("row_id", *[
         measures.annualised_margin(
-            F.col(f"outstanding_balance_{h}_{c}"), F.col(f"avg_book_bal_{h}_{c}"), date, h
-        ).alias(f"margin_{h}_{c}")
-        for h in ("mtd", "ytd") for c in ("aed", "lcy")
-    ])
+            f"outstanding_balance_{h}_{c}", f"avg_book_bal_{h}_{c}", calendar.key_to_date(), h
+        ) + f" AS margin_{h}_{c}"
+        for h in ("mtd", "ytd") for c in ("aed", "lcy")])
 
 
 # -- lookups -----------------------------------------------------------------------------------
@@ -409,11 +394,10 @@ def anchor_merge(spark, d):
         base_plan.balance_rows(rows).select("row_id", *base_plan.BASE_KEYS, *base_plan.ATTRIBUTES, *schemas.BALANCES),
         base_plan.deal_totals(rows, testmap.gl_accounts(spark, d), testmap.domain(spark)),
         base_plan.BASE_KEYS, measures.all_measures())
-    has_row, has_pl = F.col("row_id").isNotNull(), F.col("net_pl").isNotNull()
     return merged.groupBy("time_key", "amount_class").agg(
-        F.count(F.when(has_row & has_pl, 1)).alias("n_matched"),
-        F.count(F.when(has_row & ~has_pl, 1)).alias("n_balance_only"),
-        F.count(F.when(~has_row, 1)).alias("n_pl_only"),
+        F.expr("count_if(row_id IS NOT NULL AND net_pl IS NOT NULL) AS n_matched"),
+        F.expr("count_if(row_id IS NOT NULL AND net_pl IS NULL) AS n_balance_only"),
+        F.expr("count_if(row_id IS NULL) AS n_pl_only"),
         total("net_pl"), total("outstanding_balance_mtd_aed"))
 
 
@@ -452,7 +436,7 @@ COARSE = ["legal_entity", "customer_segment_code", "amount_class", "domain_id"]
 
 @query
 def prior_period_compare(spark, d):
-    rows = _with_domain(spark, d).withColumns(measures.scenario_columns(F.col("dom_l1")))
+    rows = with_exprs(_with_domain(spark, d), measures.scenario_columns("dom_l1"))
     names = ["mtd_aed_actual", "mtd_lcy_actual", "ytd_aed_actual", "ytd_lcy_actual"]
     monthly = rows.groupBy(*COARSE, "time_key").agg(*[total(n) for n in names])
     return compare.compare(monthly, monthly, periods_of(testmap.ledger(spark, d)), COARSE)
@@ -471,10 +455,10 @@ def _periods(spark, d) -> list[int]:
 
 @query
 def asof_validity(spark, d):
-    rows = testmap.customer_versions(spark, d).withColumns({
-        "from_key": F.col("start_time_key").cast("int"), "to_key": F.col("end_time_key").cast("int")})
+    rows = testmap.customer_versions(spark, d).selectExpr(
+        "banking_type", "CAST(start_time_key AS INT) AS from_key", "CAST(end_time_key AS INT) AS to_key")
     valid = asof.valid_at(rows, _periods(spark, d), "from_key", "to_key")
-    return valid.groupBy("time_key", "banking_type").agg(count(), F.min("from_key").alias("first_start"))
+    return valid.groupBy("time_key", "banking_type").agg(count(), F.expr("min(from_key) AS first_start"))
 
 
 @query
@@ -507,21 +491,21 @@ def _with_contracts(spark, d):
 
 @query
 def contract_join_sentinel(spark, d):
-    return _with_contracts(spark, d).where(F.col("contract_id") == chart.NO_CONTRACT).select(
+    return _with_contracts(spark, d).where(f"contract_id = '{chart.NO_CONTRACT}'").select(
         "row_id", "source_system_id", "deal_start_key", "deal_end_key")
 
 
 @query
 def contract_join_latest(spark, d):
-    return _with_contracts(spark, d).where(F.col("contract_id") != chart.NO_CONTRACT).select(
+    return _with_contracts(spark, d).where(f"contract_id <> '{chart.NO_CONTRACT}'").select(
         "row_id", "contract_id", "deal_start_key", "deal_end_key")
 
 
 @query
 def sentinel_routing(spark, d):
     return _with_contracts(spark, d).groupBy(
-        "time_key", (F.col("contract_id") == chart.NO_CONTRACT).alias("is_sentinel")
-    ).agg(count(), F.count("deal_start_key").alias("n_with_contract"), F.max("deal_start_key").alias("last_start"))
+        "time_key", F.expr(f"contract_id = '{chart.NO_CONTRACT}' AS is_sentinel")
+    ).agg(count(), F.expr("count(deal_start_key) AS n_with_contract"), F.expr("max(deal_start_key) AS last_start"))
 
 
 @query
@@ -573,19 +557,18 @@ def calendar_offsets(spark, d):
 
 @query
 def calendar_month_end(spark, d):
-    date = F.col("o_orderdate").cast("date")
-    return testmap.table(spark, d, "orders").groupBy(date.alias("order_date")).agg(count()).select(
-        "order_date", "n_rows", calendar.date_to_key(F.last_day("order_date")).alias("month_end_key"),
-        calendar.is_month_end(F.col("order_date")).alias("month_end"))
+    dates = testmap.table(spark, d, "orders").selectExpr("CAST(o_orderdate AS DATE) AS order_date")
+    return dates.groupBy("order_date").agg(count()).selectExpr(
+        "order_date", "n_rows", f"{calendar.date_to_key('last_day(order_date)')} AS month_end_key",
+        f"{calendar.is_month_end('order_date')} AS month_end")
 
 
 @query
 def calendar_series(spark, d):
     spans = testmap.table(spark, d, "orders").groupBy("o_custkey").agg(
-        F.min(F.col("o_orderdate").cast("date")).alias("first_date"),
-        F.max(F.col("o_orderdate").cast("date")).alias("last_date"))
-    return calendar.month_series(spans, "first_date", "last_date").select(
-        "o_custkey", calendar.date_to_key(F.col("period_end")).alias("time_key"))
+        F.expr("CAST(min(o_orderdate) AS DATE) AS first_date"), F.expr("CAST(max(o_orderdate) AS DATE) AS last_date"))
+    return calendar.month_series(spans, "first_date", "last_date").selectExpr(
+        "o_custkey", f"{calendar.date_to_key('period_end')} AS time_key")
 
 
 # -- jobs ------------------------------------------------------------------------------------------------------
@@ -594,9 +577,8 @@ def budget_rebase(spark, d):
     mart = Mart(spark, fresh_folder(spark, "mart"), testmap.dimensions(spark, d), testmap.GROUP)
     ledger = testmap.ledger(spark, d, grain="year")
     mart.run("ALL", ledger)
-    doubled = {c: F.col(c) * 2 for c in [*schemas.OUTSTANDING]}
-    mart.run("BUDGET", ledger.withColumns(doubled))
+    mart.run("BUDGET", with_exprs(ledger, {c: f"{c} * 2" for c in schemas.OUTSTANDING}))
     return mart.gl.read_latest().groupBy("time_key", "version_id", "dataset", "amount_class").agg(
         count(), *[total(n) for n in ("mtd_aed", "net_pl", "mtd_aed_actual", "mtd_lcy_budget",
                                       "prev_yr_curr_mth_ytd_aed", "prev_mth1_mtd_aed")],
-        F.count("gm_other").alias("n_tagged"))
+        F.expr("count(gm_other) AS n_tagged"))

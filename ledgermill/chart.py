@@ -18,6 +18,7 @@ AMOUNT_CLASSES = ["MGTBGT", "MGTACT", "FINACT"]
 
 # ---- fixed values: profit-and-loss measures -----------------------------------
 L1, L2, L3, L4, L5, L6 = (f"gl_account_levl{n}_code" for n in range(1, 7))
+LEVELS = [L1, L2, L3, L4, L5, L6]
 MEASURES = [
     ("gross_interest_income", f"{L3} = '60110000'"),
     ("gross_interest_expense", f"{L3} = '60120000'"),

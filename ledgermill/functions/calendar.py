@@ -1,11 +1,10 @@
-"""Periods: ``yyyyMMdd`` integers and the dates they stand for."""
+"""Periods: ``yyyyMMdd`` integers and the dates they stand for, as SQL text."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import literal_rows
 
@@ -13,38 +12,35 @@ from ..session import literal_rows
 OFFSETS = {"lm1": 1, "lm2": 2, "lysm": 12}
 
 
-def key_to_date(key: Column) -> Column:
-    return F.to_date(key.cast("string"), "yyyyMMdd")
+def key_to_date(key: str = "time_key") -> str:
+    return f"to_date(CAST({key} AS STRING), 'yyyyMMdd')"
 
 
-def date_to_key(date: Column) -> Column:
-    return F.date_format(date, "yyyyMMdd").cast("int")
+def date_to_key(date: str) -> str:
+    return f"CAST(date_format({date}, 'yyyyMMdd') AS INT)"
 
 
-def month_end_back(date: Column, months: int) -> Column:
+def month_end_back(date: str, months: int) -> str:
     """Last day of the month that lies ``months`` before the month of ``date``."""
-    return F.last_day(F.add_months(date, -months))
+    return f"last_day(add_months({date}, -{months}))"
 
 
-def is_month_end(date: Column) -> Column:
-    return date == F.last_day(date)
+def is_month_end(date: str) -> str:
+    return f"{date} = last_day({date})"
 
 
 def with_offsets(periods: DataFrame, key: str = "time_key") -> DataFrame:
     """Adds the month-end keys of the prior periods each period compares with."""
-    date = key_to_date(F.col(key))
-    return periods.select(
-        F.col(key).cast("int").alias(key),
-        *[date_to_key(month_end_back(date, m)).alias(f"{key}_{n}") for n, m in OFFSETS.items()],
+    return periods.selectExpr(
+        f"CAST({key} AS INT) AS {key}",
+        *[f"{date_to_key(month_end_back(key_to_date(key), m))} AS {key}_{n}" for n, m in OFFSETS.items()],
     )
 
 
 def month_series(spans: DataFrame, start: str, end: str) -> DataFrame:
     """One row per month end from the month of ``start`` to the month of ``end``."""
-    months = F.sequence(
-        F.trunc(F.col(start), "month"), F.trunc(F.col(end), "month"), F.expr("interval 1 month")
-    )
-    return spans.withColumn("period_end", F.explode(F.transform(months, F.last_day)))
+    months = f"sequence(trunc({start}, 'month'), trunc({end}, 'month'), INTERVAL 1 MONTH)"
+    return spans.selectExpr("*", f"explode(transform({months}, m -> last_day(m))) AS period_end")
 
 
 def periods_frame(spark: SparkSession, keys: Iterable[int]) -> DataFrame:
@@ -53,4 +49,4 @@ def periods_frame(spark: SparkSession, keys: Iterable[int]) -> DataFrame:
 
 def list_periods(fact: DataFrame, key: str = "time_key") -> list[int]:
     """The periods present. An 8-digit day key bounds them to 366 per year."""
-    return sorted(r[0] for r in fact.select(F.col(key).cast("int")).distinct().collect())
+    return sorted(r[0] for r in fact.selectExpr(f"CAST({key} AS INT)").distinct().collect())

@@ -1,34 +1,33 @@
-"""Composite codes and derived business keys."""
+"""Composite codes, derived business keys and null defaults, as SQL text."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from .sql import quoted
 
 NO_TYPE = "NA"
 
 
-def code_type(code: Column, mark: str = "#") -> Column:
+def code_type(code: str, mark: str = "#") -> str:
     """Trimmed text before the first mark, or ``NA`` when there is no mark."""
-    at = F.instr(code, mark)
-    return F.trim(F.when(at > 0, F.substr(code, F.lit(1), at - 1)).otherwise(F.lit(NO_TYPE)))
+    at = f"instr({code}, '{mark}')"
+    return f"trim(CASE WHEN {at} > 0 THEN substr({code}, 1, {at} - 1) ELSE '{NO_TYPE}' END)"
 
 
-def code_id(code: Column, mark: str = "#") -> Column:
+def code_id(code: str, mark: str = "#") -> str:
     """Text after the first mark; the whole text when there is none."""
-    return F.substr(code, F.instr(code, mark) + 1)
+    return f"substr({code}, instr({code}, '{mark}') + 1)"
 
 
-def joined_key(parts: Iterable[Column | str]) -> Column:
+def joined_key(parts: Iterable[str]) -> str:
     """Concatenation that is null as soon as one part is null."""
-    return F.concat(*[(F.col(p) if isinstance(p, str) else p).cast("string") for p in parts])
+    return "concat(" + ", ".join(f"CAST({p} AS STRING)" for p in parts) + ")"
 
 
-def null_defaults(defaults: dict[str, object]) -> dict[str, Column]:
-    """Columns with nulls replaced by a same-typed default, for ``withColumns``."""
+def null_defaults(defaults: dict[str, object]) -> dict[str, str]:
+    """Nulls replaced by a same-typed default: a number or a text."""
     return {
-        name: F.coalesce(F.col(name), value if isinstance(value, Column) else F.lit(value))
+        name: f"coalesce({name}, {f'{value}D' if isinstance(value, float) else quoted(value)})"
         for name, value in defaults.items()
     }

@@ -6,9 +6,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sql import aggregates
+
 
 def collapse(dim: DataFrame, key: str | list[str], attributes: Iterable[str] | None = None) -> DataFrame:
     """One row per key holding the maximum of every attribute."""
@@ -16,7 +18,7 @@ def collapse(dim: DataFrame, key: str | list[str], attributes: Iterable[str] | N
     names = list(attributes) if attributes is not None else [c for c in dim.columns if c not in keys]
     if not names:
         return dim.select(*keys).distinct()
-    return dim.groupBy(*keys).agg(*[F.max(n).alias(n) for n in names])
+    return dim.groupBy(*keys).agg(*aggregates({n: f"max({n})" for n in names}))
 
 
 def lookup(
@@ -34,25 +36,21 @@ def lookup(
     caller states that it is unique.
     """
     keys = list(on.values())
-    dim = dim if unique else collapse(dim, keys, [c for c in set(take.values()) if c not in keys])
-    side = dim.select(
-        *[F.col(d).alias(f"__on_{i}") for i, d in enumerate(keys)],
-        *[F.col(source).alias(new) for new, source in take.items()],
+    if not unique:
+        dim = collapse(dim, keys, sorted({c for c in take.values() if c not in keys}))
+    side = dim.selectExpr(
+        *[f"{d} AS __on_{i}" for i, d in enumerate(keys)],
+        *[f"{source} AS {new}" for new, source in take.items()],
     )
-    condition = None
-    for i, left in enumerate(on):
-        part = fact[left] == F.col(f"__on_{i}")
-        condition = part if condition is None else condition & part
-    return fact.join(side, condition, how).drop(*[f"__on_{i}" for i in range(len(keys))])
+    match = " AND ".join(f"{left} = __on_{i}" for i, left in enumerate(on))
+    return fact.join(side, F.expr(match), how).drop(*[f"__on_{i}" for i in range(len(keys))])
 
 
 def in_scope(fact: DataFrame, dim: DataFrame, on: dict[str, str], condition: str) -> DataFrame:
     """Fact rows whose dimension member satisfies ``condition`` (left semi join)."""
-    side = dim.where(F.expr(condition)).select(
-        *[F.col(d).alias(f"__on_{i}") for i, d in enumerate(on.values())]
-    )
-    match = [fact[left] == F.col(f"__on_{i}") for i, left in enumerate(on)]
-    return fact.join(side, match, "left_semi")
+    side = dim.where(condition).selectExpr(*[f"{d} AS __on_{i}" for i, d in enumerate(on.values())])
+    match = " AND ".join(f"{left} = __on_{i}" for i, left in enumerate(on))
+    return fact.join(side, F.expr(match), "left_semi")
 
 
 def star(fact: DataFrame, branches: Iterable[tuple]) -> DataFrame:
@@ -66,8 +64,8 @@ def salted_left_join(
     fact: DataFrame,
     side: DataFrame,
     on: dict[str, str],
-    hot: Column,
-    hot_side: Column,
+    hot: str,
+    hot_side: str,
     spread_by: Iterable[str],
     salts: int = 64,
 ) -> DataFrame:
@@ -77,10 +75,9 @@ def salted_left_join(
     repeated once per salt, so every fact row still meets exactly its match.
     The salt is a hash of row content: a recomputed task gives the same one.
     """
-    salt = F.when(hot, F.pmod(F.xxhash64(*spread_by), F.lit(salts))).otherwise(F.lit(0))
-    copies = F.when(hot_side, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    fact = fact.withColumn("__salt", salt.cast("int"))
-    side = side.withColumn("__copy", F.explode(copies))
-    match = [F.col("__salt") == F.col("__copy")]
-    match += [fact[left] == side[right] for left, right in on.items()]
-    return fact.join(side, match, "left").drop("__salt", "__copy", *on.values())
+    salt = f"CASE WHEN {hot} THEN CAST(pmod(xxhash64({', '.join(spread_by)}), {salts}) AS INT) ELSE 0 END"
+    copies = f"explode(CASE WHEN {hot_side} THEN sequence(0, {salts - 1}) ELSE array(0) END)"
+    fact = fact.selectExpr("*", f"{salt} AS __salt")
+    side = side.selectExpr("*", f"{copies} AS __copy")
+    match = " AND ".join([f"{left} = {right}" for left, right in on.items()] + ["__salt = __copy"])
+    return fact.join(side, F.expr(match), "left").drop("__salt", "__copy", *on.values())

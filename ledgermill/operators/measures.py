@@ -1,12 +1,15 @@
-"""Profit-and-loss measures, balances, scenarios, risk weights and margins."""
+"""Profit-and-loss measures, balances, scenarios, risk weights and margins.
+
+Column formulas are SQL text by column name, ready for one projection.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from .. import chart
-from ..functions.money import exact_sum
+from ..functions.money import exact_sum, to_cents
+from ..functions.sql import aggregates, in_list, with_exprs
 from .lookup import collapse
 
 
@@ -26,44 +29,47 @@ def all_measures() -> list[str]:
     return base_measures() + derived_measures()
 
 
-def select_balances(flag: str = "bs_pl_flag") -> dict[str, Column]:
+def select_balances(flag: str = "bs_pl_flag") -> dict[str, str]:
     """Month balance: the year balance for balance-sheet rows, else the month's own."""
     return {
-        f"outstanding_balance_mtd_{c}": F.when(
-            F.col(flag) == "BS", F.col(f"outstanding_balance_ytd_{c}")
-        ).otherwise(F.col(f"outstanding_balance_mtd_{c}"))
+        f"outstanding_balance_mtd_{c}": f"CASE WHEN {flag} = 'BS' THEN outstanding_balance_ytd_{c} "
+                                        f"ELSE outstanding_balance_mtd_{c} END"
         for c in ("acy", "lcy", "aed")
     }
 
 
 def account_flags(accounts: DataFrame, key: str = "gl_account_id", measures=chart.MEASURES) -> DataFrame:
     """One row per account with a boolean per measure, decided once per account."""
-    return collapse(accounts, key).select(key, *[F.expr(c).alias(f"is_{m}") for m, c in measures])
+    return collapse(accounts, key, chart.LEVELS).selectExpr(
+        key, *[f"({c}) AS is_{m}" for m, c in measures])
 
 
-def pivot_measures(pl: DataFrame, flags: DataFrame, key: str = "gl_account_id",
-                   measures=chart.MEASURES, bases=chart.BASES) -> DataFrame:
-    """Adds measure x basis columns: the amount where the account's rule holds, else 0."""
-    joined = pl.join(flags, key)
-    added = {
-        measure_name(m, b): F.when(F.col(f"is_{m}"), F.col(amount)).otherwise(F.lit(0.0))
-        for b, amount in bases.items()
-        for m, _ in measures
+def pivot_columns(measures=chart.MEASURES, bases=chart.BASES) -> dict[str, str]:
+    return {
+        measure_name(m, b): f"CASE WHEN is_{m} THEN {amount} ELSE 0D END"
+        for b, amount in bases.items() for m, _ in measures
     }
-    return joined.withColumns(added).drop(*[f"is_{m}" for m, _ in measures])
+
+
+def pivot_measures(pl: DataFrame, flags: DataFrame, key: str = "gl_account_id") -> DataFrame:
+    """Adds measure x basis columns: the amount where the account's rule holds, else 0."""
+    return with_exprs(pl.join(flags, key), pivot_columns())
+
+
+def derivation(name: str, basis: str, derived=chart.DERIVED) -> list[str]:
+    """Base measures a derived one adds up, with earlier derivations spelled out."""
+    known, terms = dict(derived), []
+    for t in known[name]:
+        terms += derivation(t, basis, derived) if t in known else [measure_name(t, basis)]
+    return terms
 
 
 def derive_measures(df: DataFrame, derived=chart.DERIVED, bases=chart.BASES) -> DataFrame:
     """Adds the additive derivations; a later one may use an earlier one."""
-    for name, terms in derived:
-        added = {}
-        for b in bases:
-            total = F.col(measure_name(terms[0], b))
-            for t in terms[1:]:
-                total = total + F.col(measure_name(t, b))
-            added[measure_name(name, b)] = F.rint(total * 100.0) / 100.0
-        df = df.withColumns(added)
-    return df
+    return with_exprs(df, {
+        measure_name(n, b): to_cents(" + ".join(derivation(n, b, derived)))
+        for b in bases for n, _ in derived
+    })
 
 
 def pl_rollup(pl: DataFrame, flags: DataFrame, keys: list[str]) -> DataFrame:
@@ -72,49 +78,44 @@ def pl_rollup(pl: DataFrame, flags: DataFrame, keys: list[str]) -> DataFrame:
     Derivations are linear, so they are taken from the sums after the one
     shuffle instead of being carried through it.
     """
-    pivoted = pivot_measures(pl, flags)
-    sums = pivoted.groupBy(*keys).agg(*[exact_sum(F.col(m)).alias(m) for m in base_measures()])
-    return derive_measures(sums)
+    joined = pl.join(flags, "gl_account_id")
+    sums = {n: exact_sum(e) for n, e in pivot_columns().items()}
+    return derive_measures(joined.groupBy(*keys).agg(*aggregates(sums)))
 
 
-def scenario_columns(level1: Column) -> dict[str, Column]:
+def scenario_columns(level1: str = "dom_l1") -> dict[str, str]:
     """Actual, budget and current-year budget amounts over the four bases."""
     added = {}
     for basis in ("mtd_aed", "mtd_lcy", "ytd_aed", "ytd_lcy"):
-        amount = F.col(f"outstanding_balance_{basis}")
         for name, code in chart.SCENARIOS.items():
             column = f"{name}_{basis}" if name == "cy_ed_budget" else f"{basis}_{name}"
-            added[column] = F.when(level1 == code, amount).otherwise(F.lit(0.0))
+            added[column] = f"CASE WHEN {level1} = '{code}' THEN outstanding_balance_{basis} ELSE 0D END"
     return added
 
 
-def rwa_columns(level4: Column, domain: Column, account: Column) -> dict[str, Column]:
+def rwa_columns(level4: str = "dom_l4", domain: str = "dom_id", account: str = "acc_id") -> dict[str, str]:
     """Risk-weighted balance by class; ``domain`` and ``account`` are null when unknown."""
-    amount = F.col("outstanding_balance_mtd_aed")
     return {
-        name: F.when(
-            (level4 == code) | (domain.isin(chart.RWA_DOMAINS) & (account == gl)), amount
-        ).otherwise(F.lit(0.0))
+        name: f"CASE WHEN {level4} = '{code}' OR ({domain} IN {in_list(chart.RWA_DOMAINS)} AND "
+              f"{account} = '{gl}') THEN outstanding_balance_mtd_aed ELSE 0D END"
         for name, (code, gl) in chart.RWA_CLASSES.items()
     }
 
 
-def rwa_total() -> Column:
-    return F.col("rwa_credit_risk") + F.col("rwa_market_risk") + F.col("rwa_operational_risk")
+RWA_TOTAL = "rwa_credit_risk + rwa_market_risk + rwa_operational_risk"
 
 
-def annualised_margin(income: Column, average: Column, date: Column, horizon: str) -> Column:
+def annualised_margin(income: str, average: str, date: str, horizon: str) -> str:
     """Income over average balance, scaled to 365 days; a zero balance counts as 1."""
-    days = F.dayofmonth(F.last_day(date)) if horizon == "mtd" else F.dayofyear(date)
-    divisor = F.when(average == 0, F.lit(1.0)).otherwise(average)
-    return F.coalesce((income / divisor) * (F.lit(365.0) / days), F.lit(0.0))
+    days = f"dayofmonth(last_day({date}))" if horizon == "mtd" else f"dayofyear({date})"
+    divisor = f"CASE WHEN {average} = 0 THEN 1D ELSE {average} END"
+    return f"coalesce(({income} / {divisor}) * (365D / {days}), 0D)"
 
 
-def margin_columns(date: Column) -> dict[str, Column]:
+def margin_columns(date: str) -> dict[str, str]:
     added = {}
     for basis in chart.BASES:
         name = basis or "_mtd_aed"
         added[f"net_int_margin{basis}"] = annualised_margin(
-            F.col(f"net_interest_income{basis}"), F.col(f"avg_book_bal{name}"), date, name[1:4]
-        )
+            f"net_interest_income{basis}", f"avg_book_bal{name}", date, name[1:4])
     return added

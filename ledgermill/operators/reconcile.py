@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import exact_sum
+from ..functions.sql import quoted
 
 
 def control_totals(stages: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Row count and amount total of each stage; a stage is (rows, amount column)."""
     parts = [
-        df.agg(F.count(F.lit(1)).alias("total_count"), exact_sum(F.col(amount)).alias("total_amount"))
-        .select(F.lit(name).alias("stage"), "total_count", "total_amount")
+        df.agg(F.expr("count(1) AS total_count"), F.expr(f"{exact_sum(amount)} AS total_amount"))
+        .selectExpr(f"{quoted(name)} AS stage", "total_count", "total_amount")
         for name, (df, amount) in stages.items()
     ]
     return reduce(DataFrame.unionByName, parts)

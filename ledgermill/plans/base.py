@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .. import chart, schemas
 from ..functions import calendar
 from ..functions.codes import null_defaults
+from ..functions.sql import with_exprs
 from ..operators import anchor, measures
 from ..operators.lookup import in_scope, lookup
 
@@ -23,8 +23,8 @@ def classify(ledger: DataFrame, accounts: DataFrame) -> DataFrame:
         {"balance_sheet_type": "gl_account_levl2_desc", "bs_pl_flag": "gl_pl_flag",
          "is_internal_account": "is_internal_account"},
     )
-    raw = {f"mtd_{c}": F.col(f"outstanding_balance_mtd_{c}") for c in schemas.CURRENCIES}
-    return rows.withColumns({**raw, **measures.select_balances()})
+    raw = {f"mtd_{c}": f"outstanding_balance_mtd_{c}" for c in schemas.CURRENCIES}
+    return with_exprs(rows, {**raw, **measures.select_balances()})
 
 
 def balance_rows(classified: DataFrame) -> DataFrame:
@@ -52,16 +52,19 @@ def merged_rows(classified: DataFrame, totals: DataFrame, keys: list[str] = BASE
     names = measures.all_measures()
     rows = balance_rows(classified).select("row_id", *keys, *ATTRIBUTES, *schemas.BALANCES)
     merged = anchor.anchor_merge(rows, totals, keys, names)
-    # Before the defaults: a margin needs the income and the balance of one row.
-    merged = merged.withColumns(measures.margin_columns(calendar.key_to_date(F.col("time_key"))))
-    merged = merged.withColumns(null_defaults({
-        **{c: 0.0 for c in [*schemas.BALANCES, *names]},
-        "balance_sheet_type": chart.SYNTHETIC_TYPE,
-        "common_key": chart.SYNTHETIC_COMMON_KEY,
-        "gl_account_id": chart.SYNTHETIC_ACCOUNT,
-        "is_internal_account": chart.SYNTHETIC_ACCOUNT,
-    }))
-    return merged.withColumn("bs_pl_flag", F.lit("BS")).select(*BASE_COLUMNS)
+    # Margins come before the defaults: they need the income and balance of one row.
+    merged = with_exprs(merged, measures.margin_columns(calendar.key_to_date()))
+    merged = with_exprs(merged, {
+        **null_defaults({
+            **{c: 0.0 for c in [*schemas.BALANCES, *names]},
+            "balance_sheet_type": chart.SYNTHETIC_TYPE,
+            "common_key": chart.SYNTHETIC_COMMON_KEY,
+            "gl_account_id": chart.SYNTHETIC_ACCOUNT,
+            "is_internal_account": chart.SYNTHETIC_ACCOUNT,
+        }),
+        "bs_pl_flag": "'BS'",
+    })
+    return merged.select(*BASE_COLUMNS)
 
 
 def base_fact(ledger: DataFrame, accounts: DataFrame, domains: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -27,64 +27,57 @@ def read_lines(spark: SparkSession, path: str, header: str | None = None) -> Dat
     return lines.select("value", F.split("value", SEPARATOR, -1).alias("field"))
 
 
-def period_key(year: Column, month: Column, date_text: Column) -> Column:
+def period_key(year: str, month: str, date_text: str) -> str:
     """Year, two-digit month and the second space-separated token of the date text."""
-    padded = F.when(F.length(month) > 1, month).otherwise(F.concat(F.lit("0"), month))
-    return F.concat(year, padded, F.get(F.split(date_text, " "), F.lit(1)))
+    padded = f"CASE WHEN length({month}) > 1 THEN {month} ELSE concat('0', {month}) END"
+    return f"concat({year}, {padded}, get(split({date_text}, ' '), 1))"
 
 
-def amount(text: Column) -> Column:
+def amount(text: str) -> str:
     """Empty text is 0; text that is no number is null."""
-    return F.when(text == "", F.lit(0.0)).otherwise(text.try_cast("double"))
+    return f"CASE WHEN {text} = '' THEN 0D ELSE try_cast({text} AS DOUBLE) END"
 
 
-def _field(position: int) -> Column:
-    return F.get("field", F.lit(position))
+def _field(position: int) -> str:
+    return f"get(field, {position})"
 
 
 def parse(lines: DataFrame) -> DataFrame:
     """All fields of every line, with the reason a line must be rejected (or null)."""
-    parsed = lines.select(
-        "value",
-        F.size("field").alias("width"),
-        *[_field(p).alias(n) for n, p in schemas.EXTRACT_KEYS.items()],
-        period_key(*[_field(p) for p in schemas.EXTRACT_PERIOD.values()]).alias("period_text"),
-        *[amount(_field(p)).alias(n) for n, p in schemas.EXTRACT_AMOUNTS.items()],
+    parsed = lines.selectExpr(
+        "value", "size(field) AS width",
+        *[f"{_field(p)} AS {n}" for n, p in schemas.EXTRACT_KEYS.items()],
+        f"{period_key(*[_field(p) for p in schemas.EXTRACT_PERIOD.values()])} AS period_text",
+        *[f"{amount(_field(p))} AS {n}" for n, p in schemas.EXTRACT_AMOUNTS.items()],
     )
-    bad_amount = F.lit(False)
-    for name in schemas.EXTRACT_AMOUNTS:
-        bad_amount = bad_amount | F.col(name).isNull()
-    reason = (
-        F.when(F.col("width") < schemas.EXTRACT_WIDTH, F.lit("too few fields"))
-        .when(F.col("period_text").try_cast("int").isNull(), F.lit("bad period"))
-        .when(bad_amount, F.lit("bad amount"))
-    )
-    return parsed.withColumn("reject_reason", reason)
+    bad_amount = " OR ".join(f"{n} IS NULL" for n in schemas.EXTRACT_AMOUNTS)
+    return parsed.selectExpr(
+        "*",
+        f"CASE WHEN width < {schemas.EXTRACT_WIDTH} THEN 'too few fields' "
+        "WHEN try_cast(period_text AS INT) IS NULL THEN 'bad period' "
+        f"WHEN {bad_amount} THEN 'bad amount' END AS reject_reason")
 
 
 def accepted(parsed: DataFrame, strict: bool = False) -> DataFrame:
     """Lines to load. ``strict`` fails the job on the first bad line."""
-    kept = parsed.where(F.col("reject_reason").isNull())
+    row_id = "row_id"
     if strict:
-        checked = F.when(
-            F.col("reject_reason").isNotNull(),
-            F.raise_error(F.concat(F.col("reject_reason"), F.lit(": "), F.col("value"))).cast("string"),
-        ).otherwise(F.col("row_id"))
-        kept = parsed.withColumn("row_id", checked)
-    return kept.select(
-        *schemas.EXTRACT_KEYS,
-        F.col("period_text").try_cast("int").alias("time_key"),
-        *schemas.EXTRACT_AMOUNTS,
-    )
+        row_id = ("CASE WHEN reject_reason IS NULL THEN row_id ELSE "
+                  "CAST(raise_error(concat(reject_reason, ': ', value)) AS STRING) END AS row_id")
+    else:
+        parsed = parsed.where("reject_reason IS NULL")
+    return parsed.selectExpr(
+        row_id, *[n for n in schemas.EXTRACT_KEYS if n != "row_id"],
+        "try_cast(period_text AS INT) AS time_key", *schemas.EXTRACT_AMOUNTS)
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("reject_reason").isNotNull()).select("value", "reject_reason")
+    return parsed.where("reject_reason IS NOT NULL").select("value", "reject_reason")
 
 
 def duplicate_row_ids(rows: DataFrame) -> DataFrame:
     """Row ids that occur more than once; the loads need them unique."""
-    return rows.groupBy("row_id").agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
+    return rows.groupBy("row_id").agg(F.expr("count(1) AS n_rows")).where("n_rows > 1")
 
 
 def to_ledger(rows: DataFrame) -> DataFrame:
@@ -92,29 +85,23 @@ def to_ledger(rows: DataFrame) -> DataFrame:
 
     The year-to-date amounts are the rebased ones.
     """
-    suffix = {"ccy": "acy", "lcl": "lcy", "rpt": "aed"}
     amounts = {}
-    for raw, name in suffix.items():
-        amounts[f"outstanding_balance_mtd_{name}"] = F.col(f"mtd_{raw}_amount")
-        amounts[f"outstanding_balance_ytd_{name}"] = F.col(f"ytd_{raw}_amount_rebased")
+    for raw, name in {"ccy": "acy", "lcl": "lcy", "rpt": "aed"}.items():
+        amounts[f"outstanding_balance_mtd_{name}"] = f"mtd_{raw}_amount"
+        amounts[f"outstanding_balance_ytd_{name}"] = f"ytd_{raw}_amount_rebased"
         for horizon in ("mtd", "ytd", "ltd"):
-            amounts[f"avg_book_bal_{horizon}_{name}"] = F.col(f"{horizon}ab_{raw}")
-    return rows.select(
-        "row_id", "time_key", "common_key", "amount_class",
-        F.col("entity").alias("legal_entity"),
-        codes.code_type(F.col("customer_nr")).alias("banking_type_customer"),
-        codes.code_id(F.col("customer_nr")).alias("customer_number"),
-        F.col("account_code").alias("gl_account_id"),
-        codes.code_type(F.col("deal_id")).alias("banking_type"),
-        codes.code_id(F.col("deal_id")).alias("contract_id"),
-        "profit_centre",
-        F.col("element1").alias("category_code"),
-        F.col("element3").alias("source_system_id"),
-        F.col("element4").alias("final_segment"),
-        F.col("element7").alias("customer_segment_code"),
-        F.col("currency").alias("currency_code"),
-        "domain_id",
-        *[F.coalesce(c, F.lit(0.0)).alias(n) for n, c in amounts.items()],
+            amounts[f"avg_book_bal_{horizon}_{name}"] = f"{horizon}ab_{raw}"
+    return rows.selectExpr(
+        "row_id", "time_key", "common_key", "amount_class", "entity AS legal_entity",
+        f"{codes.code_type('customer_nr')} AS banking_type_customer",
+        f"{codes.code_id('customer_nr')} AS customer_number",
+        "account_code AS gl_account_id",
+        f"{codes.code_type('deal_id')} AS banking_type",
+        f"{codes.code_id('deal_id')} AS contract_id",
+        "profit_centre", "element1 AS category_code", "element3 AS source_system_id",
+        "element4 AS final_segment", "element7 AS customer_segment_code",
+        "currency AS currency_code", "domain_id",
+        *[f"coalesce({c}, 0D) AS {n}" for n, c in amounts.items()],
     )
 
 
@@ -130,9 +117,10 @@ def write_extract(rows: DataFrame, path: str) -> None:
     by_position = {p: n for n, p in {**schemas.EXTRACT_KEYS, **schemas.EXTRACT_PERIOD,
                                      **schemas.EXTRACT_AMOUNTS}.items()}
     fields = [
-        F.coalesce(F.col(by_position[p]).cast("string"), F.lit("")).alias(by_position[p])
-        if p in by_position else F.lit("").alias(f"f{p}")
+        f"coalesce(CAST({by_position[p]} AS STRING), '') AS {by_position[p]}"
+        if p in by_position else f"'' AS f{p}"
         for p in range(schemas.EXTRACT_WIDTH)
     ]
-    rows.select(*fields).write.option("sep", SEPARATOR).option("header", True).option(
-        "quote", "\u0000").option("emptyValue", "").csv(path)
+    options = {"sep": SEPARATOR, "header": True, "quote": "\u0000", "emptyValue": "",
+               "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.selectExpr(*fields).write.options(**options).csv(path)

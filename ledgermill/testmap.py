@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.money import to_cents
+from .functions.sql import case_of
 from .session import literal_rows
 from .sources import ingest
 from .sources.dims import DIMENSION_COLUMNS, Dimensions
@@ -108,38 +110,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(column, mapping: dict):
-    """Chained CASE over a fixed mapping."""
-    chosen = F
-    for key, value in mapping.items():
-        chosen = chosen.when(column == key, F.lit(value))
-    return chosen
+BRAND = "CAST(substring(p_brand, 7) AS INT)"
+# Account number from the brand; three brands carry the risk-weight accounts.
+ACCOUNT = (
+    f"CASE WHEN p_size % 2 = 0 THEN CASE {BRAND} WHEN 23 THEN '913716' WHEN 24 THEN '813714' "
+    f"WHEN 25 THEN '813715' ELSE concat('1001', lpad({BRAND}, 2, '0')) END "
+    f"ELSE concat('6001', lpad({BRAND}, 2, '0')) END"
+)
+ENTITY = case_of("r_name", ENTITIES)
 
 
-def brand_number():
-    return F.substring("p_brand", 7, 2).cast("int")
+def _nth(items: list[str], index: str) -> str:
+    listed = ", ".join(f"'{i}'" for i in items)
+    return f"element_at(array({listed}), CAST({index} + 1 AS INT))"
 
 
-def is_balance():
-    return F.col("p_size") % 2 == 0
-
-
-def account_id():
-    """Account number from the brand; three brands carry the risk-weight accounts."""
-    number = F.lpad(brand_number().cast("string"), 2, "0")
-    special = {23: "913716", 24: "813714", 25: "813715"}
-    balance = F.coalesce(_pick(brand_number(), special), F.concat(F.lit("1001"), number))
-    return F.when(is_balance(), balance).otherwise(F.concat(F.lit("6001"), number))
-
-
-def cents(amount):
-    return F.rint(amount * 100.0) / 100.0
-
-
-def period_end(grain: str):
-    if grain == "year":
-        return F.last_day(F.make_date(F.year("o_orderdate"), F.lit(12), F.lit(1)))
-    return F.last_day("o_orderdate")
+def period_end(grain: str) -> str:
+    return "last_day(o_orderdate)" if grain == "month" else "make_date(year(o_orderdate), 12, 31)"
 
 
 def raw_rows(spark: SparkSession, sf_dir: str, grain: str = "month") -> DataFrame:
@@ -148,87 +135,75 @@ def raw_rows(spark: SparkSession, sf_dir: str, grain: str = "month") -> DataFram
     ``row_id`` joins the line's own columns; no two lines of the test tables
     agree in all of them.
     """
-    line, order = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    part, cust = table(spark, sf_dir, "part"), table(spark, sf_dir, "customer")
-    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    names = ("lineitem", "orders", "part", "customer", "nation", "region")
+    line, order, part, cust, nation, region = (table(spark, sf_dir, n) for n in names)
     star = (
-        line.join(order, line.l_orderkey == order.o_orderkey)
-        .join(part, line.l_partkey == part.p_partkey)
-        .join(cust, order.o_custkey == cust.c_custkey)
-        .join(nation, cust.c_nationkey == nation.n_nationkey)
-        .join(region, nation.n_regionkey == region.r_regionkey)
+        line.join(order, F.expr("l_orderkey = o_orderkey"))
+        .join(part, F.expr("l_partkey = p_partkey"))
+        .join(cust, F.expr("o_custkey = c_custkey"))
+        .join(nation, F.expr("c_nationkey = n_nationkey"))
+        .join(region, F.expr("n_regionkey = r_regionkey"))
     )
-    order_key, cust_key = F.col("l_orderkey").cast("string"), F.col("o_custkey").cast("string")
-    price, disc, tax, qty = (F.col(c) for c in ("l_extendedprice", "l_discount", "l_tax", "l_quantity"))
-    domains = {
-        status: F.element_at(F.array(*[F.lit(d) for d in ids]), (F.col("l_orderkey") % 4 + 1).cast("int"))
-        for status, ids in DOMAINS_BY_STATUS.items()
-    }
-    domain = F
-    for status, chosen in domains.items():
-        domain = domain.when(F.col("o_orderstatus") == status, chosen)
+    domain = " ".join(
+        f"WHEN '{status}' THEN {_nth(ids, 'l_orderkey % 4')}" for status, ids in DOMAINS_BY_STATUS.items())
     end = period_end(grain)
-    return star.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                    F.rint(price * 100).cast("bigint")).alias("row_id"),
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("common_key"),
-        _pick(F.col("r_name"), ENTITIES).alias("entity"),
-        _pick(F.col("l_returnflag"), {"A": "FINACT", "N": "MGTBGT", "R": "MGTACT"}).alias("amount_class"),
-        F.when(F.col("o_custkey") % 7 == 0, cust_key)
-        .when(F.col("o_custkey") % 3 == 0, F.concat(F.lit("RB#"), cust_key))
-        .otherwise(F.concat(F.lit("CB#"), cust_key)).alias("customer_nr"),
-        account_id().alias("account_code"),
-        F.when(F.col("l_orderkey") % 10 == 0, F.lit("0000000"))
-        .when(F.col("l_orderkey") % 2 == 0, F.concat(F.lit(" LN#"), order_key))
-        .otherwise(F.concat(F.lit("DP#"), order_key)).alias("deal_id"),
-        F.concat(F.lit("2101"), (F.col("o_custkey") % 8).cast("string")).alias("profit_centre"),
-        _pick(F.col("o_orderpriority"), {k: v[0] for k, v in PRODUCTS.items()}).alias("element1"),
-        F.element_at(F.array(*[F.lit(s) for s in SOURCES]),
-                     (F.col("o_custkey") % 5 + 1).cast("int")).alias("element3"),
-        F.concat(F.lit("D"), (F.col("n_nationkey") % 4).cast("string")).alias("element4"),
-        _pick(F.col("c_mktsegment"), {k: v[0] for k, v in SEGMENTS.items()}).alias("element7"),
-        _pick(F.col("r_name"), CURRENCY).alias("currency"),
-        domain.alias("domain_id"),
-        F.year(end).cast("string").alias("year"),
-        F.month(end).cast("string").alias("month"),
-        F.concat(F.lit("day "), F.date_format(end, "dd")).alias("date_text"),
-        cents(price * (1 - disc) * (1 + tax)).alias("mtd_ccy_amount"),
-        cents(price * (1 - disc)).alias("mtd_lcl_amount"),
-        price.alias("mtd_rpt_amount"),
-        *[F.lit(0.0).alias(f"ytd_{c}_amount") for c in ("ccy", "lcl", "rpt")],
-        cents(price * 2).alias("ytd_ccy_amount_rebased"),
-        cents(price * (1 + tax) * (1 - disc)).alias("ytd_lcl_amount_rebased"),
-        cents(price * (1 + tax)).alias("ytd_rpt_amount_rebased"),
-        (qty * 3).alias("mtdab_ccy"), (qty * 2 - 2).alias("mtdab_lcl"), (qty - 1).alias("mtdab_rpt"),
-        (qty * 4).alias("ytdab_ccy"), (qty * 5 - 10).alias("ytdab_lcl"), (qty + 1).alias("ytdab_rpt"),
-        (qty * 7).alias("ltdab_ccy"), (qty * 8).alias("ltdab_lcl"), (qty * 9).alias("ltdab_rpt"),
+    price, key = "l_extendedprice", "CAST(o_custkey AS STRING)"
+    return star.selectExpr(
+        "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+        f"CAST(rint({price} * 100) AS BIGINT)) AS row_id",
+        "concat_ws('-', l_orderkey, l_linenumber) AS common_key",
+        f"{ENTITY} AS entity",
+        f"{case_of('l_returnflag', {'A': 'FINACT', 'N': 'MGTBGT', 'R': 'MGTACT'})} AS amount_class",
+        f"CASE WHEN o_custkey % 7 = 0 THEN {key} WHEN o_custkey % 3 = 0 THEN concat('RB#', {key}) "
+        f"ELSE concat('CB#', {key}) END AS customer_nr",
+        f"{ACCOUNT} AS account_code",
+        "CASE WHEN l_orderkey % 10 = 0 THEN '0000000' WHEN l_orderkey % 2 = 0 "
+        "THEN concat(' LN#', l_orderkey) ELSE concat('DP#', l_orderkey) END AS deal_id",
+        "concat('2101', o_custkey % 8) AS profit_centre",
+        f"{case_of('o_orderpriority', {k: v[0] for k, v in PRODUCTS.items()})} AS element1",
+        f"{_nth(SOURCES, 'o_custkey % 5')} AS element3",
+        "concat('D', n_nationkey % 4) AS element4",
+        f"{case_of('c_mktsegment', {k: v[0] for k, v in SEGMENTS.items()})} AS element7",
+        f"{case_of('r_name', CURRENCY)} AS currency",
+        f"CASE o_orderstatus {domain} END AS domain_id",
+        f"CAST(year({end}) AS STRING) AS year", f"CAST(month({end}) AS STRING) AS month",
+        f"concat('day ', date_format({end}, 'dd')) AS date_text",
+        f"{to_cents(f'{price} * (1 - l_discount) * (1 + l_tax)')} AS mtd_ccy_amount",
+        f"{to_cents(f'{price} * (1 - l_discount)')} AS mtd_lcl_amount",
+        f"{price} AS mtd_rpt_amount",
+        *[f"0D AS ytd_{c}_amount" for c in ("ccy", "lcl", "rpt")],
+        f"{to_cents(f'{price} * 2')} AS ytd_ccy_amount_rebased",
+        f"{to_cents(f'{price} * (2 - l_discount)')} AS ytd_lcl_amount_rebased",
+        f"{to_cents(f'{price} * (1 + l_tax)')} AS ytd_rpt_amount_rebased",
+        "l_quantity * 3 AS mtdab_ccy", "l_quantity * 2 - 2 AS mtdab_lcl", "l_quantity - 1 AS mtdab_rpt",
+        "l_quantity * 4 AS ytdab_ccy", "l_quantity * 5 - 10 AS ytdab_lcl", "l_quantity + 1 AS ytdab_rpt",
+        "l_quantity * 7 AS ltdab_ccy", "l_quantity * 8 AS ltdab_lcl", "l_quantity * 9 AS ltdab_rpt",
     )
 
 
 def ledger(spark: SparkSession, sf_dir: str, grain: str = "month") -> DataFrame:
     """The ledger view: raw rows through the same projection the text ingest uses."""
-    rows = raw_rows(spark, sf_dir, grain)
-    key = ingest.period_key(F.col("year"), F.col("month"), F.col("date_text")).cast("int")
-    return ingest.to_ledger(rows.withColumn("time_key", key))
+    key = ingest.period_key("year", "month", "date_text")
+    return ingest.to_ledger(raw_rows(spark, sf_dir, grain).selectExpr("*", f"CAST({key} AS INT) AS time_key"))
+
+
+def account_levels(spark: SparkSession) -> DataFrame:
+    rows = [(flag, str(brand), *levels) for flag, table_ in (("BS", BS_LEVELS), ("PL", PL_LEVELS))
+            for brand, levels in table_.items()]
+    return literal_rows(spark, rows, ["flag", "brand", *[f"gl_account_levl{n}_code" for n in range(1, 7)]])
 
 
 def gl_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per part, so accounts repeat and must be collapsed."""
-    part = table(spark, sf_dir, "part")
-    columns = [account_id().alias("gl_account_id")]
-    for n in range(1, 7):
-        bs = _pick(brand_number(), {k: v[n - 1] for k, v in BS_LEVELS.items() if v[n - 1]})
-        pl = _pick(brand_number(), {k: v[n - 1] for k, v in PL_LEVELS.items() if v[n - 1]})
-        columns.append(F.when(is_balance(), bs).otherwise(pl).alias(f"gl_account_levl{n}_code"))
-    return part.select(
-        *columns,
-        F.col("p_type").alias("gl_account_levl1_desc"),
-        F.when(brand_number() == 7, F.lit(None)).otherwise(F.col("p_name")).alias("gl_account_levl2_desc"),
-        F.when(is_balance(), F.lit("BS")).otherwise(F.lit("PL")).alias("gl_pl_flag"),
-        F.when(brand_number() % 5 == 0, F.lit("Y")).otherwise(F.lit("N")).alias("is_internal_account"),
-        F.col("p_name").alias("description"),
-        F.col("p_type").alias("account_type"),
-    )
+    match = f"brand = substring(p_brand, 7) AND flag = CASE WHEN p_size % 2 = 0 THEN 'BS' ELSE 'PL' END"
+    return table(spark, sf_dir, "part").join(account_levels(spark), F.expr(match)).selectExpr(
+        f"{ACCOUNT} AS gl_account_id",
+        *[f"gl_account_levl{n}_code" for n in range(1, 7)],
+        "p_type AS gl_account_levl1_desc",
+        f"CASE WHEN {BRAND} <> 7 THEN p_name END AS gl_account_levl2_desc",
+        "flag AS gl_pl_flag",
+        f"CASE WHEN {BRAND} % 5 = 0 THEN 'Y' ELSE 'N' END AS is_internal_account",
+        "p_name AS description", "p_type AS account_type")
 
 
 def _rows(spark: SparkSession, mapping: dict, columns: list[str]) -> DataFrame:
@@ -241,51 +216,41 @@ def domain(spark: SparkSession) -> DataFrame:
 
 def profit_centre(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per supplier: centres repeat, and centre 21017 is missing."""
-    supp, nation = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
+    supp, nation, region = (table(spark, sf_dir, n) for n in ("supplier", "nation", "region"))
     return (
-        supp.join(nation, supp.s_nationkey == nation.n_nationkey)
-        .join(region, nation.n_regionkey == region.r_regionkey)
-        .select(F.concat(F.lit("2101"), (F.col("s_suppkey") % 7).cast("string")).alias("profit_centre_cd"),
-                _pick(F.col("r_name"), ENTITIES).alias("entity"))
+        supp.join(nation, F.expr("s_nationkey = n_nationkey"))
+        .join(region, F.expr("n_regionkey = r_regionkey"))
+        .selectExpr("concat('2101', s_suppkey % 7) AS profit_centre_cd", f"{ENTITY} AS entity")
     )
 
 
 def legal_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "region").select(
-        _pick(F.col("r_name"), ENTITIES).alias("legal_entity"),
-        F.when(F.col("r_name") == "ASIA", F.lit("ASSOCIATE")).otherwise(F.lit(GROUP))
-        .alias("legal_entity_levl1_desc"),
-    )
+    return table(spark, sf_dir, "region").selectExpr(
+        f"{ENTITY} AS legal_entity",
+        f"CASE WHEN r_name = 'ASIA' THEN 'ASSOCIATE' ELSE '{GROUP}' END AS legal_entity_levl1_desc")
 
 
 def customer_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One validity per order of a customer; they overlap, and some stay open."""
-    start = F.col("o_orderdate").cast("date")
-    end = F.when(F.col("o_orderkey") % 5 == 0, F.lit("99991231")).otherwise(
-        F.date_format(F.date_add(start, (F.col("o_orderkey") % 700 + 30).cast("int")), "yyyyMMdd"))
-    return table(spark, sf_dir, "orders").select(
-        F.concat(F.lit(" "), F.col("o_custkey").cast("string"), F.lit(" ")).alias("customer_number"),
-        F.when(F.col("o_custkey") % 7 == 0, F.lit("NA")).when(F.col("o_custkey") % 3 == 0, F.lit("RB"))
-        .otherwise(F.lit("CB")).alias("banking_type"),
-        F.date_format(start, "yyyyMMdd").alias("start_time_key"), end.alias("end_time_key"),
-    )
+    start = "CAST(o_orderdate AS DATE)"
+    return table(spark, sf_dir, "orders").selectExpr(
+        "concat(' ', o_custkey, ' ') AS customer_number",
+        "CASE WHEN o_custkey % 7 = 0 THEN 'NA' WHEN o_custkey % 3 = 0 THEN 'RB' ELSE 'CB' END AS banking_type",
+        f"date_format({start}, 'yyyyMMdd') AS start_time_key",
+        "CASE WHEN o_orderkey % 5 = 0 THEN '99991231' ELSE date_format("
+        f"date_add({start}, CAST(o_orderkey % 700 + 30 AS INT)), 'yyyyMMdd') END AS end_time_key")
 
 
 def contract_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One validity per order line; lines of sentinel orders share one contract."""
-    start = F.col("l_shipdate").cast("date")
-    end = F.date_add(start, (F.col("l_quantity") * 20).cast("int"))
-    text = lambda d: F.upper(F.date_format(d, "dd-MMM-yyyy"))
-    sentinel = F.col("l_orderkey") % 10 == 0
-    return table(spark, sf_dir, "lineitem").select(
-        F.when(sentinel, F.lit("0000000")).otherwise(F.col("l_orderkey").cast("string")).alias("contract_id"),
-        F.when(sentinel, F.lit("NA")).when(F.col("l_orderkey") % 2 == 0, F.lit("LN"))
-        .otherwise(F.lit("DP ")).alias("banking_type"),
-        F.element_at(F.array(*[F.lit(s) for s in SOURCES]),
-                     (F.col("l_linenumber") % 5 + 1).cast("int")).alias("source_system"),
-        text(start).alias("start_validity_date"), text(end).alias("end_validity_date"),
-    )
+    start = "CAST(l_shipdate AS DATE)"
+    end = f"date_add({start}, CAST(l_quantity * 20 AS INT))"
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "CASE WHEN l_orderkey % 10 = 0 THEN '0000000' ELSE CAST(l_orderkey AS STRING) END AS contract_id",
+        "CASE WHEN l_orderkey % 10 = 0 THEN 'NA' WHEN l_orderkey % 2 = 0 THEN 'LN' ELSE 'DP ' END AS banking_type",
+        f"{_nth(SOURCES, 'l_linenumber % 5')} AS source_system",
+        f"upper(date_format({start}, 'dd-MMM-yyyy')) AS start_validity_date",
+        f"upper(date_format({end}, 'dd-MMM-yyyy')) AS end_validity_date")
 
 
 def dimensions(spark: SparkSession, sf_dir: str) -> Dimensions:
