@@ -16,7 +16,7 @@ from ..plans import base as base_plan
 from ..plans import gl as gl_plan
 from ..plans.pipeline import Mart
 from ..plans.trial_balance import trial_balance
-from ..session import fresh_folder
+from ..session import fresh_folder, stage
 from ..sources import dims, ingest
 from ..sources.placeholder import placeholder
 from ..sources.store import FactStore
@@ -389,7 +389,7 @@ def anchor_rank(spark, d):
 
 @query
 def anchor_merge(spark, d):
-    rows = classified(spark, d)
+    rows = stage(classified(spark, d), "classified")
     merged = anchor.anchor_merge(
         base_plan.balance_rows(rows).select("row_id", *base_plan.BASE_KEYS, *base_plan.ATTRIBUTES, *schemas.BALANCES),
         base_plan.deal_totals(rows, testmap.gl_accounts(spark, d), testmap.domain(spark)),
@@ -408,15 +408,17 @@ def base_fact(spark, d):
 
 @query
 def reconcile_totals(spark, d):
-    rows = classified(spark, d)
-    totals = base_plan.deal_totals(rows, testmap.gl_accounts(spark, d), testmap.domain(spark))
+    accounts, domains = testmap.gl_accounts(spark, d), testmap.domain(spark)
+    rows = stage(classified(spark, d), "classified")
+    base = base_plan.base_from(rows, accounts, domains)
+    totals = base_plan.deal_totals(rows, accounts, domains)
     return reconcile.control_totals({
         "ledger": (testmap.ledger(spark, d), "outstanding_balance_mtd_aed"),
         "balance rows": (base_plan.balance_rows(rows), "mtd_aed"),
         "profit and loss rows": (base_plan.pl_rows(rows), "mtd_aed"),
         "deal totals": (totals, "net_pl"),
-        "base balances": (base_of(spark, d), "mtd_aed"),
-        "base measures": (base_of(spark, d), "net_pl"),
+        "base balances": (base, "mtd_aed"),
+        "base measures": (base, "net_pl"),
     })
 
 

@@ -10,6 +10,7 @@ from ..functions.codes import null_defaults
 from ..functions.sql import with_exprs
 from ..operators import anchor, measures
 from ..operators.lookup import in_scope, lookup
+from ..session import stage
 
 BASE_KEYS = [*schemas.DEAL_KEYS, "time_key"]
 ATTRIBUTES = ["gl_account_id", "common_key", "bs_pl_flag", "balance_sheet_type", "is_internal_account"]
@@ -67,12 +68,21 @@ def merged_rows(classified: DataFrame, totals: DataFrame, keys: list[str] = BASE
     return merged.select(*BASE_COLUMNS)
 
 
-def base_fact(ledger: DataFrame, accounts: DataFrame, domains: DataFrame) -> DataFrame:
-    """Merged rows and the raw profit-and-loss rows, for every period in the ledger.
+def base_from(classified: DataFrame, accounts: DataFrame, domains: DataFrame) -> DataFrame:
+    """Merged rows and the raw profit-and-loss rows of classified ledger rows.
 
     The raw rows are not limited to the domains in scope, the measures are.
     """
-    classified = classify(ledger, accounts)
     merged = merged_rows(classified, deal_totals(classified, accounts, domains))
     raw = pl_rows(classified).select(*BASE_KEYS, *ATTRIBUTES, *schemas.BALANCES)
     return merged.unionByName(raw, allowMissingColumns=True)
+
+
+def base_fact(ledger: DataFrame, accounts: DataFrame, domains: DataFrame) -> DataFrame:
+    """The base fact, for every period in the ledger.
+
+    The classified rows are staged once: the fact needs them in four parts
+    (anchors, balance rows, totals, raw rows), and each part then reads only
+    its own columns and rows instead of building the ledger again.
+    """
+    return base_from(stage(classify(ledger, accounts), "classified"), accounts, domains)

@@ -129,7 +129,7 @@ def period_end(grain: str) -> str:
     return "last_day(o_orderdate)" if grain == "month" else "make_date(year(o_orderdate), 12, 31)"
 
 
-def raw_rows(spark: SparkSession, sf_dir: str, grain: str = "month") -> DataFrame:
+def raw_rows(spark: SparkSession, sf_dir: str, grain: str = "month", more: list[str] = ()) -> DataFrame:
     """One raw ledger row per order line, in the columns of the extract.
 
     ``row_id`` joins the line's own columns; no two lines of the test tables
@@ -178,13 +178,15 @@ def raw_rows(spark: SparkSession, sf_dir: str, grain: str = "month") -> DataFram
         "l_quantity * 3 AS mtdab_ccy", "l_quantity * 2 - 2 AS mtdab_lcl", "l_quantity - 1 AS mtdab_rpt",
         "l_quantity * 4 AS ytdab_ccy", "l_quantity * 5 - 10 AS ytdab_lcl", "l_quantity + 1 AS ytdab_rpt",
         "l_quantity * 7 AS ltdab_ccy", "l_quantity * 8 AS ltdab_lcl", "l_quantity * 9 AS ltdab_rpt",
+        *more,
     )
 
 
 def ledger(spark: SparkSession, sf_dir: str, grain: str = "month") -> DataFrame:
     """The ledger view: raw rows through the same projection the text ingest uses."""
-    key = ingest.period_key("year", "month", "date_text")
-    return ingest.to_ledger(raw_rows(spark, sf_dir, grain).selectExpr("*", f"CAST({key} AS INT) AS time_key"))
+    end = period_end(grain)
+    key = f"year({end}) * 10000 + month({end}) * 100 + day({end}) AS time_key"
+    return ingest.to_ledger(raw_rows(spark, sf_dir, grain, [key]))
 
 
 def account_levels(spark: SparkSession) -> DataFrame:
