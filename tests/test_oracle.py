@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from ledgermill import testmap
+from ledgermill.catalogue import oracle, queries
 from ledgermill.operators import tags
 
 SF = "/root/testdata/sf0.001"
@@ -28,7 +29,7 @@ def canonical(columns, rows):
 
 
 def test_every_query_has_a_statement():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(queries.QUERIES) == set(oracle.statements())
 
 
 @pytest.mark.parametrize("name", CHECKED)
