@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm.bpe import Codec
-from ledgermill.llm.common import slices, utf8
+from ledgermill.llm.common import ship, slices, utf8
 
 # Characters whose words are looked up together.
 TOGETHER = 1_000_000
@@ -70,6 +70,7 @@ def decode(df: DataFrame, path: str) -> DataFrame:
                 {"id": pa.array(rows["id"], pa.int64()),
                  "text": pa.array([c.decode(x or b"") for x in rows["ids"]], pa.string())})
 
+    ship(df.sparkSession)
     return df.select("id", "ids").mapInArrow(run, "id bigint, text string")
 
 
@@ -95,4 +96,5 @@ def round_trip(df: DataFrame, path: str, key: str = "doc_id", text: str = "text"
 
 
 def _rows(df: DataFrame, key: str, text: str) -> DataFrame:
+    ship(df.sparkSession)
     return df.select(F.col(key).cast("bigint").alias("id"), F.col(text).cast("string").cast("binary").alias("text"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm.bpe import Recent, byte_alphabet, load, spelled, splitter
-from ledgermill.llm.common import slices, utf8
+from ledgermill.llm.common import ship, slices, utf8
 
 # The pre-tokens of the lower-casing word vocabulary.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
@@ -91,5 +91,6 @@ def count_tokens(df: DataFrame, path: str, limit: int = 2048, key: str = "doc_id
                  "n_tokens": pa.array(counts, pa.int64()),
                  "over_limit": pa.array([n > limit for n in counts], pa.bool_())})
 
+    ship(df.sparkSession)
     rows = df.select(F.col(key).cast("bigint").alias("id"), F.col(text).cast("string").cast("binary").alias("text"))
     return rows.mapInArrow(run, "id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean")
