@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import chat, codec, exact, lattice, quality, sharding, tokencount
+from ledgermill.llm import chat, codec, exact, lattice, ngramjoin, quality, sharding, tokencount
 from ledgermill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,3 +146,33 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors at a cosine of 0.95."""
     out = lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
     return out.withColumnRenamed("id", "vec_id")
+
+
+@query
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 4-word shingles have a Jaccard similarity of 0.85 or more."""
+    return ngramjoin.link(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+# The rarest-first prefix filter gives every pair that can reach the threshold.
+SQL["op8_ngram_join"] = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+s AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))) END AS sh
+  FROM w),
+t AS MATERIALIZED (SELECT doc_id, len(sh) AS n, unnest(sh) AS t FROM s),
+f AS (SELECT t, count(*) AS df FROM t GROUP BY t),
+o AS (SELECT doc_id, n, t, row_number() OVER (PARTITION BY doc_id ORDER BY df, t) AS place FROM t JOIN f USING (t)),
+p AS MATERIALIZED (SELECT * FROM o WHERE place <= n - ((n * 85 + 99) // 100) + 1),
+c AS (SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM p AS x JOIN p AS y ON x.t = y.t AND x.doc_id < y.doc_id
+      WHERE least(x.n, y.n) * 100 >= greatest(x.n, y.n) * 85),
+v AS (SELECT a, b, len(list_intersect(x.sh, y.sh)) AS i, len(x.sh) + len(y.sh) AS total
+      FROM c JOIN s AS x ON x.doc_id = a JOIN s AS y ON y.doc_id = b),
+l AS MATERIALIZED (SELECT a, b FROM v WHERE 100 * i >= 85 * (total - i)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS reach FROM s UNION SELECT e.b, r.reach FROM r JOIN e ON e.a = r.doc_id)
+SELECT doc_id, len(sh) AS n_shingles, (SELECT min(reach) FROM r WHERE r.doc_id = s.doc_id) AS component_id FROM s
+"""
