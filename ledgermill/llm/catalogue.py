@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import chat, codec, exact, lattice, ngramjoin, quality, sharding, tokencount
+from ledgermill.llm import chat, codec, exact, lattice, linededup, mixing, ngramjoin, quality, sharding, tokencount
 from ledgermill.llm.common import table
+from ledgermill.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -176,3 +177,57 @@ e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r AS (SELECT doc_id, doc_id AS reach FROM s UNION SELECT e.b, r.reach FROM r JOIN e ON e.a = r.doc_id)
 SELECT doc_id, len(sh) AS n_shingles, (SELECT min(reach) FROM r WHERE r.doc_id = s.doc_id) AS component_id FROM s
 """
+
+
+POWER = 0.7
+
+
+@query
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampling probability of every document for tempered source, language and topic shares, and whether it is kept."""
+    measured = stage(mixing.measure(table(spark, sf_dir, "documents")), "mix-documents")
+    chances = mixing.probabilities(measured, POWER)
+    return (measured.join(chances, ["source", "lang", "topic"])
+                    .select(F.col("id").alias("doc_id"), "source", "lang", "topic", "tokens",
+                            F.round("probability", 6).alias("probability"), mixing.below("id", "probability").alias("kept")))
+
+
+def _raking(sweeps: int) -> str:
+    steps, last = [], "c0"
+    for k in range(sweeps):
+        for m in ("source", "lang", "topic"):
+            steps.append(f"c{len(steps) + 1} AS MATERIALIZED (SELECT source, lang, topic, tokens, "
+                         f"w * t_{m} / sum(w) OVER (PARTITION BY {m}) AS w, t_source, t_lang, t_topic FROM {last})")
+            last = f"c{len(steps)}"
+    return ",\n".join(steps)
+
+
+_SWEEPS = 15
+_TOPIC = "CASE " + " ".join(
+    "WHEN " + " OR ".join(f"contains(coalesce(text, ''), '{m}')" for m in marks) + f" THEN '{name}'"
+    for name, marks in mixing.TOPICS) + " ELSE 'prose' END"
+SQL["op2_mixing"] = f"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang, {_TOPIC} AS topic,
+         greatest(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')), 1) AS tokens
+  FROM documents),
+g AS (SELECT source, lang, topic, CAST(sum(tokens) AS DOUBLE) AS tokens FROM d GROUP BY ALL),
+""" + ",\n".join(f"""s_{m} AS (SELECT {m}, pow(sum(tokens), {POWER}) AS p FROM g GROUP BY {m}),
+t_{m} AS (SELECT {m}, p / sum(p) OVER () AS t_{m} FROM s_{m})""" for m in ("source", "lang", "topic")) + f""",
+c0 AS MATERIALIZED (
+  SELECT g.*, tokens / sum(tokens) OVER () AS w, t_source, t_lang, t_topic
+  FROM g JOIN t_source USING (source) JOIN t_lang USING (lang) JOIN t_topic USING (topic)),
+{_raking(_SWEEPS)},
+p AS (SELECT source, lang, topic, (w / tokens) / max(w / tokens) OVER () AS probability FROM c{3 * _SWEEPS})
+SELECT doc_id, source, lang, topic, tokens, round(probability, 6) AS probability,
+       ({_draw("doc_id", "'mix'")} + 0.5) / 4503599627370496.0 < probability AS kept
+FROM d JOIN p USING (source, lang, topic)
+"""
+
+
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of five words or more: the first occurrence of its group, and whether it is kept."""
+    out = linededup.groups(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), F.col("pos").alias("line_no"), F.col("group_id").alias("group_doc_id"),
+                      F.col("group_pos").alias("group_line_no"), "kept")
