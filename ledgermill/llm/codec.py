@@ -10,6 +10,7 @@ import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from ledgermill.llm.common import ship, slices, utf8
 # Characters whose words are looked up together.
 TOGETHER = 1_000_000
 
-ENCODED = "id bigint, ids binary, n_tokens bigint"
+ENCODED = "id bigint, ids array<int>, n_tokens bigint"
 
 
 @lru_cache(maxsize=2)
@@ -43,8 +44,13 @@ def _in_groups(batches, weight) -> Iterator[tuple[list, list[str]]]:
         yield ids, texts
 
 
+def _lists(codes: list[bytes]) -> pa.Array:
+    ends = np.cumsum([0, *(len(x) // 4 for x in codes)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(codes), "<i4")))
+
+
 def encode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, ids, n_tokens) of every row; ids are little-endian unsigned 32-bit integers.
+    """(id, ids, n_tokens) of every row.
 
     No special tokens are added; special strings inside a text become their
     tokens. A null text is empty and has no tokens, a null key stays null, every
@@ -55,7 +61,7 @@ def encode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") ->
         for ids, texts in _in_groups(batches, TOGETHER):
             codes = c.encode(texts)
             yield pa.RecordBatch.from_pydict(
-                {"id": pa.array(ids, pa.int64()), "ids": pa.array(codes, pa.binary()),
+                {"id": pa.array(ids, pa.int64()), "ids": _lists(codes),
                  "n_tokens": pa.array([len(x) // 4 for x in codes], pa.int64())})
 
     return _rows(df, key, text).mapInArrow(run, ENCODED)
@@ -68,7 +74,7 @@ def decode(df: DataFrame, path: str) -> DataFrame:
         for rows in slices(batches):
             yield pa.RecordBatch.from_pydict(
                 {"id": pa.array(rows["id"], pa.int64()),
-                 "text": pa.array([c.decode(x or b"") for x in rows["ids"]], pa.string())})
+                 "text": pa.array([c.decode(np.array(x or [], "<u4").tobytes()) for x in rows["ids"]], pa.string())})
 
     ship(df.sparkSession)
     return df.select("id", "ids").mapInArrow(run, "id bigint, text string")

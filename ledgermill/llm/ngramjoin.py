@@ -103,7 +103,7 @@ def _texts(batches, rows: int = 256):
 
 
 def sets(rows: DataFrame, words: int, percent: int, seed: int) -> DataFrame:
-    """(id, n, node, check, low): the size, the 128-bit name and the lowest tokens of each set."""
+    """(id, body, n, node, check, low): the size, the 128-bit name and the lowest tokens of each set."""
     def run(batches):
         shingle = Shingler(words, seed)
         for part, texts in _texts(batches):
@@ -111,11 +111,12 @@ def sets(rows: DataFrame, words: int, percent: int, seed: int) -> DataFrame:
             names = [_name(s) for s in all_]
             low = [s[:(may_miss(len(s), percent) + 1) * 3 // 2 + 2].view(np.int64) for s in all_]
             yield pa.RecordBatch.from_pydict(
-                {"id": part.column("id"), "n": pa.array([len(s) for s in all_], pa.int64()),
+                {"id": part.column("id"), "body": part.column("body"), "n": pa.array([len(s) for s in all_], pa.int64()),
                  "node": pa.array([x[0] for x in names], pa.int64()), "check": pa.array([x[1] for x in names], pa.int64()),
                  "low": pa.array(low, pa.list_(pa.int64()))})
 
-    return rows.select("id", "text").mapInArrow(run, "id bigint, n bigint, node bigint, check bigint, low array<bigint>")
+    return rows.select("id", "body", "text").mapInArrow(
+        run, "id bigint, body bigint, n bigint, node bigint, check bigint, low array<bigint>")
 
 
 def bitmap(df: DataFrame, bucket: Column) -> np.ndarray:
@@ -347,9 +348,39 @@ def link(df: DataFrame, percent: int = 85, words: int = 4, key: str = "doc_id",
     smallest id reachable. A null id counts in its component and is the smallest only if
     there is no other; repeated rows link like copies; other columns are left aside.
     """
+    return _linked(df, percent, words, key, text, frequent).drop("body", "part")
+
+
+def dedup(df: DataFrame, percent: int = 85, words: int = 4, key: str = "doc_id", text: str = "text",
+          frequent: int = FREQUENT) -> DataFrame:
+    """``df`` with one row of each component of ``link``: that with the smallest id, a null id last.
+
+    Rows whose texts have no words link with nothing and all stay.
+    """
+    rows = _linked(df, percent, words, key, text, frequent).where("n_shingles > 0")
+    # Rows with equal id and text are one row with a count.
+    same = stage(rows.groupBy("part", "id", "body").agg(F.count(F.lit(1)).alias("n")), "ngram-rows")
+    best = same.groupBy("part").agg(F.min(F.struct(F.col("id").isNull(), "id", "body")).alias("best"))
+    name = lambda t: (F.col(f"{t}.id").alias("_ngram_id"), F.col(f"{t}.body").alias("_ngram_body"))
+    both = same.alias("r").join(best.alias("b"), F.expr("r.part = b.part"))
+    gone = both.where("NOT (r.id <=> b.best.id AND r.body = b.best.body)").select(*name("r"))
+    twice = stage(both.where("r.id <=> b.best.id AND r.body = b.best.body AND r.n > 1").select(*name("r")), "ngram-twice")
+    body = F.xxhash64(F.col(text).cast("string"))
+    docs = df.withColumn("_ngram_hash", body)
+    here = F.expr(f"CAST(`{key}` AS BIGINT) <=> _ngram_id AND _ngram_hash = _ngram_body")
+    left = docs.join(gone, here, "left_anti")
+    if twice.isEmpty():
+        return left.select(*[F.col(f"`{c}`") for c in df.columns])
+    single = left.join(twice, here, "left_anti")
+    first = left.join(twice, here, "left_semi").dropDuplicates([key, "_ngram_hash"])
+    return single.unionByName(first).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def _linked(df: DataFrame, percent: int, words: int, key: str, text: str, frequent: int) -> DataFrame:
     spark = df.sparkSession
     ship(spark)
-    rows = df.select(F.col(key).cast("bigint").alias("id"), F.col(text).cast("string").cast("binary").alias("text"))
+    rows = df.select(F.col(key).cast("bigint").alias("id"), F.xxhash64(F.col(text).cast("string")).alias("body"),
+                     F.col(text).cast("string").cast("binary").alias("text"))
     seed = 0
     while True:
         every = stage(sets(rows, words, percent, seed), "ngram-sets")
@@ -382,7 +413,9 @@ def link(df: DataFrame, percent: int = 85, words: int = 4, key: str = "doc_id",
     part = part.withColumnRenamed("component", "part")
     joined = classes.join(part, "node", "left").withColumn("part", F.coalesce("part", "node"))
     first = joined.groupBy("part").agg(F.min("first").alias("component_id"))
-    names = joined.join(first, "part").select("node", "component_id")
-    full = every.where("n > 0").select("id", "n", "node").join(names, "node")
-    out = full.select("id", F.col("n").alias("n_shingles"), "component_id")
-    return out.unionByName(every.where("n = 0").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id")))
+    names = joined.join(first, "part").select("node", "part", "component_id")
+    full = every.where("n > 0").select("id", "body", "n", "node").join(names, "node")
+    out = full.select("id", "body", F.col("n").alias("n_shingles"), "component_id", "part")
+    return out.unionByName(every.where("n = 0").select(
+        "id", "body", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"),
+        F.lit(None).cast("bigint").alias("part")))
