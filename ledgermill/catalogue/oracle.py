@@ -1,6 +1,6 @@
 """The same results stated in SQL, for a second engine to check.
 
-Amounts are added as DECIMAL(18, 2). Statement lines are a UNION ALL of
+Amounts are added as DECIMAL(38, 6). Statement lines are a UNION ALL of
 filtered roll-ups, tags a join with a distinct set, comparatives three joins
 and anchors a window: other ways to the results than the ones the jobs take.
 """
@@ -17,7 +17,7 @@ KEYS = ", ".join([*schemas.DEAL_KEYS, "time_key"])
 
 
 def sum_amount(expression: str, alias: str | None = None) -> str:
-    text = f"CAST(SUM(CAST({expression} AS DECIMAL(18, 2))) AS DOUBLE)"
+    text = f"CAST(SUM(CAST({expression} AS DECIMAL(38, 6))) AS DOUBLE)"
     return f"{text} AS {alias}" if alias else text
 
 
@@ -39,8 +39,8 @@ def case(column: str, mapping: dict) -> str:
     return "CASE " + column + " " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items()) + " END"
 
 
-def cents(x: str) -> str:
-    return f"round_even(({x}) * 100, 0) / 100"
+def rounded(x: str, digits: int) -> str:
+    return f"round_even(({x}) * 1e{digits}, 0) / 1e{digits}"
 
 
 # -- test map -----------------------------------------------------------------------
@@ -102,12 +102,12 @@ raw AS (
     {case("r_name", testmap.CURRENCY)} AS currency,
     {DOMAIN_OF} AS domain_id,
     CAST(strftime({PERIOD_END[grain]}, '%Y%m%d') AS INT) AS time_key,
-    {cents("l_extendedprice * (1 - l_discount) * (1 + l_tax)")} AS mtd_ccy_amount,
-    {cents("l_extendedprice * (1 - l_discount)")} AS mtd_lcl_amount,
+    {rounded("l_extendedprice * (1 - l_discount) * (1 + l_tax)", 5)} AS mtd_ccy_amount,
+    {rounded("l_extendedprice * (1 - l_discount)", 4)} AS mtd_lcl_amount,
     l_extendedprice AS mtd_rpt_amount, {zero},
-    {cents("l_extendedprice * 2")} AS ytd_ccy_amount_rebased,
-    {cents("l_extendedprice * (2 - l_discount)")} AS ytd_lcl_amount_rebased,
-    {cents("l_extendedprice * (1 + l_tax)")} AS ytd_rpt_amount_rebased,
+    {rounded("l_extendedprice * 2", 2)} AS ytd_ccy_amount_rebased,
+    {rounded("l_extendedprice * (2 - l_discount)", 4)} AS ytd_lcl_amount_rebased,
+    {rounded("l_extendedprice * (1 + l_tax)", 3)} AS ytd_rpt_amount_rebased,
     l_quantity * 3 AS mtdab_ccy, l_quantity * 2 - 2 AS mtdab_lcl, l_quantity - 1 AS mtdab_rpt,
     l_quantity * 4 AS ytdab_ccy, l_quantity * 5 - 10 AS ytdab_lcl, l_quantity + 1 AS ytdab_rpt,
     l_quantity * 7 AS ltdab_ccy, l_quantity * 8 AS ltdab_lcl, l_quantity * 9 AS ltdab_rpt
@@ -195,7 +195,7 @@ DERIVED = [(measures.measure_name(n, b), derived_terms(n, b)) for b in chart.BAS
 
 
 def deal_totals() -> str:
-    pivots = ", ".join(f"SUM(CAST(CASE WHEN {c} THEN {a} ELSE 0 END AS DECIMAL(18, 2))) AS {n}"
+    pivots = ", ".join(f"SUM(CAST(CASE WHEN {c} THEN {a} ELSE 0 END AS DECIMAL(38, 6))) AS {n}"
                        for n, c, a in PIVOTED)
     out = ", ".join([f"CAST({n} AS DOUBLE) AS {n}" for n, _, _ in PIVOTED]
                     + [f"CAST({t} AS DOUBLE) AS {n}" for n, t in DERIVED])
@@ -210,7 +210,7 @@ pl AS (SELECT {KEYS}, {out} FROM plq)"""
 RANKED = f"""
 bsr AS (
   SELECT *, row_number() OVER (PARTITION BY {KEYS} ORDER BY outstanding_balance_mtd_aed,
-    gl_account_id, common_key, row_id) AS rank_bs,
+    gl_account_id, common_key, row_id) AS place_in_deal,
     count(*) OVER (PARTITION BY {KEYS}) AS deal_rows
   FROM cls WHERE bs_pl_flag = 'BS')"""
 ALL_MEASURES = measures.all_measures()
@@ -236,7 +236,7 @@ base AS (
     coalesce(common_key, '0') AS common_key, 'BS' AS bs_pl_flag,
     coalesce(balance_sheet_type, 'BS-PL INSERT') AS balance_sheet_type,
     coalesce(is_internal_account, '999999') AS is_internal_account, {zeros}, {", ".join(margins)}
-  FROM bsr FULL OUTER JOIN pl ON {on} AND rank_bs = 1
+  FROM bsr FULL OUTER JOIN pl ON {on} AND place_in_deal = 1
   UNION ALL BY NAME
   SELECT {KEYS}, gl_account_id, common_key, bs_pl_flag, balance_sheet_type, is_internal_account,
     {", ".join(schemas.BALANCES)}, {nulls}
@@ -549,7 +549,7 @@ def statements() -> dict[str, str]:
 
     out["anchor_rank"] = (
         f"{cls}, {RANKED} SELECT {KEYS}, outstanding_balance_mtd_aed, gl_account_id, common_key, row_id, deal_rows "
-        "FROM bsr WHERE rank_bs = 1")
+        "FROM bsr WHERE place_in_deal = 1")
     on = " AND ".join(f"bsr.{k} = pl.{k}" for k in [*schemas.DEAL_KEYS, "time_key"])
     out["anchor_merge"] = (
         f"{cls}, {RANKED}, {deal_totals()} SELECT coalesce(bsr.time_key, pl.time_key) AS time_key, "
@@ -557,7 +557,7 @@ def statements() -> dict[str, str]:
         "count(*) FILTER (row_id IS NOT NULL AND net_pl IS NOT NULL) AS n_matched, "
         "count(*) FILTER (row_id IS NOT NULL AND net_pl IS NULL) AS n_balance_only, "
         "count(*) FILTER (row_id IS NULL) AS n_pl_only, "
-        f"{sums(['net_pl', 'outstanding_balance_mtd_aed'])} FROM bsr FULL OUTER JOIN pl ON {on} AND rank_bs = 1 "
+        f"{sums(['net_pl', 'outstanding_balance_mtd_aed'])} FROM bsr FULL OUTER JOIN pl ON {on} AND place_in_deal = 1 "
         "GROUP BY 1, 2")
     out["base_fact"] = f"WITH {base()} SELECT * FROM base"
     stage = lambda name, source, column, where="true": (

@@ -47,6 +47,10 @@ def classified(spark: SparkSession, d: str) -> DataFrame:
     return base_plan.classify(testmap.ledger(spark, d), testmap.gl_accounts(spark, d))
 
 
+def staged_rows(spark: SparkSession, d: str) -> DataFrame:
+    return base_plan.stage_classified(testmap.ledger(spark, d), testmap.gl_accounts(spark, d))
+
+
 def gl_of(spark: SparkSession, d: str) -> DataFrame:
     return rollup.gl_aggregate(base_of(spark, d), testmap.domain(spark), testmap.gl_accounts(spark, d))
 
@@ -384,14 +388,14 @@ def entity_scope_join(spark, d):
 # -- base fact -----------------------------------------------------------------------------------
 @query
 def anchor_rank(spark, d):
-    return anchor.anchor_rows(base_plan.balance_rows(classified(spark, d)), base_plan.BASE_KEYS)
+    return anchor.anchor_rows(base_plan.balance_rows(staged_rows(spark, d)), base_plan.BASE_KEYS).drop("line_no")
 
 
 @query
 def anchor_merge(spark, d):
-    rows = stage(classified(spark, d), "classified")
+    rows = staged_rows(spark, d)
     merged = anchor.anchor_merge(
-        base_plan.balance_rows(rows).select("row_id", *base_plan.BASE_KEYS, *base_plan.ATTRIBUTES, *schemas.BALANCES),
+        base_plan.balance_rows(rows).select("line_no", "row_id", *base_plan.BASE_KEYS, *base_plan.ATTRIBUTES, *schemas.BALANCES),
         base_plan.deal_totals(rows, testmap.gl_accounts(spark, d), testmap.domain(spark)),
         base_plan.BASE_KEYS, measures.all_measures())
     return merged.groupBy("time_key", "amount_class").agg(
@@ -409,7 +413,7 @@ def base_fact(spark, d):
 @query
 def reconcile_totals(spark, d):
     accounts, domains = testmap.gl_accounts(spark, d), testmap.domain(spark)
-    rows = stage(classified(spark, d), "classified")
+    rows = staged_rows(spark, d)
     base = base_plan.base_from(rows, accounts, domains)
     totals = base_plan.deal_totals(rows, accounts, domains)
     return reconcile.control_totals({

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from .. import chart
-from ..functions.money import exact_sum, to_cents
+from ..functions.money import exact_sum, rounded
 from ..functions.sql import aggregates, in_list, with_exprs
 from .lookup import collapse
 
@@ -67,7 +67,7 @@ def derivation(name: str, basis: str, derived=chart.DERIVED) -> list[str]:
 def derive_measures(df: DataFrame, derived=chart.DERIVED, bases=chart.BASES) -> DataFrame:
     """Adds the additive derivations; a later one may use an earlier one."""
     return with_exprs(df, {
-        measure_name(n, b): to_cents(" + ".join(derivation(n, b, derived)))
+        measure_name(n, b): rounded(" + ".join(derivation(n, b, derived)))
         for b in bases for n, _ in derived
     })
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .. import chart, schemas
 from ..functions import calendar
@@ -28,6 +29,14 @@ def classify(ledger: DataFrame, accounts: DataFrame) -> DataFrame:
     return with_exprs(rows, {**raw, **measures.select_balances()})
 
 
+def stage_classified(ledger: DataFrame, accounts: DataFrame, label: str = "classified") -> DataFrame:
+    """Classified rows written once, each with a number of its own (``line_no``).
+
+    A generated number is fixed once it is written, whatever is read again later.
+    """
+    return stage(classify(ledger, accounts).withColumn("line_no", F.monotonically_increasing_id()), label)
+
+
 def balance_rows(classified: DataFrame) -> DataFrame:
     return classified.where("bs_pl_flag = 'BS'")
 
@@ -51,7 +60,7 @@ def deal_totals(classified: DataFrame, accounts: DataFrame, domains: DataFrame,
 def merged_rows(classified: DataFrame, totals: DataFrame, keys: list[str] = BASE_KEYS) -> DataFrame:
     """Balance-sheet rows plus one synthetic row per deal that has none."""
     names = measures.all_measures()
-    rows = balance_rows(classified).select("row_id", *keys, *ATTRIBUTES, *schemas.BALANCES)
+    rows = balance_rows(classified).select("line_no", "row_id", *keys, *ATTRIBUTES, *schemas.BALANCES)
     merged = anchor.anchor_merge(rows, totals, keys, names)
     # Margins come before the defaults: they need the income and balance of one row.
     merged = with_exprs(merged, measures.margin_columns(calendar.key_to_date()))
@@ -85,4 +94,4 @@ def base_fact(ledger: DataFrame, accounts: DataFrame, domains: DataFrame) -> Dat
     (anchors, balance rows, totals, raw rows), and each part then reads only
     its own columns and rows instead of building the ledger again.
     """
-    return base_from(stage(classify(ledger, accounts), "classified"), accounts, domains)
+    return base_from(stage_classified(ledger, accounts), accounts, domains)

@@ -65,7 +65,7 @@ COMPARATIVES = {
 
 # --- storage --------------------------------------------------------------------
 FACT_PARTITIONS = ["time_key", "version_id", "amount_class", "domain_id"]
-TRIAL_BALANCE_PARTITIONS = ["time_key", "version_id", "domain_id"]
+TRIAL_BALANCE_PARTITIONS = FACT_PARTITIONS
 
 
 def struct(strings: list[str] = (), doubles: list[str] = (), ints: list[str] = ()) -> T.StructType:

@@ -34,8 +34,9 @@ def period_key(year: str, month: str, date_text: str) -> str:
 
 
 def amount(text: str) -> str:
-    """Empty text is 0; text that is no number is null."""
-    return f"CASE WHEN {text} = '' THEN 0D ELSE try_cast({text} AS DOUBLE) END"
+    """Empty text is 0; text that is no finite number is null."""
+    number = f"try_cast({text} AS DOUBLE)"
+    return f"CASE WHEN {text} = '' THEN 0D WHEN abs({number}) < double('Infinity') THEN {number} END"
 
 
 def _field(position: int) -> str:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.money import to_cents
+from .functions.money import rounded
 from .functions.sql import case_of
 from .session import literal_rows
 from .sources import ingest
@@ -168,13 +168,13 @@ def raw_rows(spark: SparkSession, sf_dir: str, grain: str = "month", more: list[
         f"CASE o_orderstatus {domain} END AS domain_id",
         f"CAST(year({end}) AS STRING) AS year", f"CAST(month({end}) AS STRING) AS month",
         f"concat('day ', date_format({end}, 'dd')) AS date_text",
-        f"{to_cents(f'{price} * (1 - l_discount) * (1 + l_tax)')} AS mtd_ccy_amount",
-        f"{to_cents(f'{price} * (1 - l_discount)')} AS mtd_lcl_amount",
+        f"{rounded(f'{price} * (1 - l_discount) * (1 + l_tax)', 5)} AS mtd_ccy_amount",
+        f"{rounded(f'{price} * (1 - l_discount)', 4)} AS mtd_lcl_amount",
         f"{price} AS mtd_rpt_amount",
         *[f"0D AS ytd_{c}_amount" for c in ("ccy", "lcl", "rpt")],
-        f"{to_cents(f'{price} * 2')} AS ytd_ccy_amount_rebased",
-        f"{to_cents(f'{price} * (2 - l_discount)')} AS ytd_lcl_amount_rebased",
-        f"{to_cents(f'{price} * (1 + l_tax)')} AS ytd_rpt_amount_rebased",
+        f"{rounded(f'{price} * 2', 2)} AS ytd_ccy_amount_rebased",
+        f"{rounded(f'{price} * (2 - l_discount)', 4)} AS ytd_lcl_amount_rebased",
+        f"{rounded(f'{price} * (1 + l_tax)', 3)} AS ytd_rpt_amount_rebased",
         "l_quantity * 3 AS mtdab_ccy", "l_quantity * 2 - 2 AS mtdab_lcl", "l_quantity - 1 AS mtdab_rpt",
         "l_quantity * 4 AS ytdab_ccy", "l_quantity * 5 - 10 AS ytdab_lcl", "l_quantity + 1 AS ytdab_rpt",
         "l_quantity * 7 AS ltdab_ccy", "l_quantity * 8 AS ltdab_lcl", "l_quantity * 9 AS ltdab_rpt",

@@ -1,6 +1,7 @@
 """Edge cases on hand-made rows."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgermill import chart, schemas
 from ledgermill.functions import calendar, codes
@@ -65,6 +66,15 @@ def test_sums_do_not_depend_on_order(spark):
     assert one[0] == sum(i % 97 for i in range(10000)) / 100
 
 
+def test_sums_keep_small_decimals(spark):
+    small = spark.range(1000).selectExpr("0.004D AS a", "0.000123D AS b", "-0.5D AS c", "12345678.123456D AS d")
+    got = small.selectExpr(*[exact_sum(c) for c in "abcd"]).first()
+    assert tuple(got) == (4.0, 0.123, -500.0, 12345678123.456)
+    assert spark.range(3).selectExpr(exact_sum("CAST(NULL AS DOUBLE)")).first()[0] is None
+    large = spark.range(4).selectExpr("4e18D AS x").selectExpr(exact_sum("x / 2")).first()
+    assert large[0] == 8e18
+
+
 def _line(row_id, month="3", amount="1.5", width=51):
     fields = [""] * width
     fields[0], fields[1], fields[49] = "2018", month, row_id
@@ -77,13 +87,14 @@ def _line(row_id, month="3", amount="1.5", width=51):
 def test_ingest(spark, tmp_path):
     header = "~".join(f"h{i}" for i in range(51))
     lines_ = [header, _line("1"), _line("2", "12", ""), header, _line("3", amount="abc"), _line("4", amount=" 1.5 "),
+              _line("5", amount="NaN"), _line("6", amount="-Infinity"),
               "too~short"]
     path = tmp_path / "extract.dat"
     path.write_text("\n".join(lines_) + "\n")
     rows, rejects = ingest.read_ledger(spark, str(path))
     got = rows_of(rows.select("row_id", "time_key", "outstanding_balance_mtd_acy"))
     assert got == [("1", 20180331, 1.5), ("2", 20181231, 0.0), ("4", 20180331, 1.5)]
-    assert sorted(r[1] for r in rejects.collect()) == ["bad amount", "too few fields"]
+    assert sorted(r[1] for r in rejects.collect()) == ["bad amount"] * 3 + ["too few fields"]
     with pytest.raises(Exception, match="bad amount|too few"):
         ingest.read_ledger(spark, str(path), strict=True)[0].collect()
 
@@ -97,7 +108,7 @@ def test_anchor_merge_conserves_totals(spark):
         ("p4", "P1", "out", 100.0, 1.0, "9"),                                         # domain out of scope
         ("z1", "??", "lost", 3.0, 1.0, "1"),                                          # unknown account
     ]
-    classified = base_plan.classify(ledger(spark, entries), accounts(spark))
+    classified = base_plan.stage_classified(ledger(spark, entries), accounts(spark))
     base = base_plan.base_from(classified, accounts(spark), domains(spark)).cache()
     assert base.count() == 4 + 1 + 4
     merged = base.where("bs_pl_flag = 'BS'")
@@ -114,6 +125,18 @@ def test_anchor_merge_conserves_totals(spark):
     assert rows_of(base_plan.unclassified(classified).select("row_id")) == [("z1",)]
 
 
+@pytest.mark.parametrize("row_ids", [["7", "7", "7"], ["", "", ""], [None, None, None]])
+def test_anchor_merge_with_ids_that_are_not_unique(spark, row_ids):
+    entries = [("b1", "A1", "both", 5.0, 0.0, "1"), ("b2", "A1", "both", 5.0, 2.0, "1"), ("p1", "P1", "both", 6.0, 1.0, "1")]
+    rows = ledger(spark, entries)
+    ids = dict(zip([e[0] for e in entries], row_ids, strict=True))
+    same = " ".join(f"WHEN '{k}' THEN {'NULL' if v is None else repr(v)}" for k, v in ids.items())
+    rows = rows.withColumn("row_id", F.expr(f"CASE common_key {same} END"))
+    merged = base_plan.base_fact(rows, accounts(spark), domains(spark)).where("bs_pl_flag = 'BS'")
+    assert merged.count() == 2
+    assert merged.selectExpr(exact_sum("net_pl")).first()[0] == 6.0
+
+
 def test_collapse_and_measures(spark):
     collapsed = lookup.collapse(accounts(spark), "gl_account_id")
     assert collapsed.where("gl_account_id = 'A1'").select("gl_account_levl2_desc").collect() == [("Loans",)]
@@ -223,3 +246,34 @@ def test_store_without_class_level(spark, tmp_path):
     store.replace_class(_facts(spark, 5, ["MGTBGT"], ["19"]), "MGTBGT")
     got = store.read_latest().groupBy("amount_class").agg({"x": "sum"})
     assert rows_of(got) == [("FINACT", 2.0), ("MGTACT", 2.0), ("MGTBGT", 5.0)]
+
+
+@pytest.mark.parametrize("levels", [["amount_class", "domain_id"], ["domain_id"]])
+def test_store_class_without_rows_goes(spark, tmp_path, levels):
+    store = FactStore(spark, str(tmp_path / "fact"), levels)
+    store.publish(_facts(spark, 1))
+    store.replace_class(_facts(spark, 5).where("false"), "MGTBGT", [20000229])
+    got = store.read_latest().groupBy("amount_class").agg({"x": "sum"})
+    assert rows_of(got) == [("FINACT", 2.0), ("MGTACT", 2.0)] and store.versions(20000229) == [1]
+
+
+def test_store_periods_without_rows_show_none(spark, tmp_path):
+    store = FactStore(spark, str(tmp_path / "fact"))
+    other = _facts(spark, 2).withColumn("time_key", F.lit(20000331))
+    store.publish(_facts(spark, 1).unionByName(other))
+    assert store.save(other, [20000229, 20000331]) == {20000229: 2, 20000331: 2}
+    assert rows_of(store.read_latest().groupBy("time_key").count()) == [(20000331, 6)]
+    assert store.overwrite_period(other.where("false"), [20000331]) == {20000331: 1}
+    assert store.read_latest([20000229, 20000331]).count() == 0
+    with pytest.raises(ValueError, match="never published"):
+        store.read_latest([19991231])
+    with pytest.raises(ValueError, match="not named"):
+        store.save(other, [20000229])
+
+
+def test_store_reads_only_the_folders_asked_for(spark, tmp_path):
+    store = FactStore(spark, str(tmp_path / "fact"))
+    for factor in (1, 2):
+        store.publish(_facts(spark, factor).unionByName(_facts(spark, factor).withColumn("time_key", F.lit(20000331))))
+    files = store.read_latest([20000229]).inputFiles()
+    assert files and all("time_key=20000229/version_id=2/" in f for f in files)
