@@ -613,11 +613,10 @@ def statements() -> dict[str, str]:
     || source_system_id || coalesce(category_code, '00000') AS ftp_derived_key FROM wc"""
 
     out["rule_tagging"] = f"WITH {gl()}, {tag_set('gl')} SELECT * FROM tagset"
-    carried = ", ".join(f"a.{k}" for k in [*schemas.GL_KEYS, "time_key", "net_pl", "mtd_aed"])
+    carried = ", ".join(f"a.{k}" for k in [*schemas.GL_KEYS, "time_key", *GL_MEASURES])
     out["tag_writeback"] = f"WITH {gl()}, {tag_set('gl')} {tagged('gl', carried)}"
     out["statement_lines"] = f"WITH {compared()}, {CENTRE} {line_blocks()}"
-    shown = ", ".join([*schemas.LINE_KEYS, "source_system_id", "gl_account_id", "net_pl", "mtd_aed",
-                       "ytd_lcy_budget", "rwa_total", "prev_mth1_mtd_aed"])
+    shown = ", ".join([*schemas.LINE_KEYS, "source_system_id", "gl_account_id", *LINE_MEASURES])
     out["statement_lines_by_source"] = (
         f"WITH {compared()}, {CENTRE} SELECT {shown} FROM ({line_blocks(by_source=True)})")
 

@@ -59,6 +59,11 @@ def periods_of(rows: DataFrame) -> DataFrame:
     return rows.select("time_key").distinct()
 
 
+def known_periods(spark: SparkSession, d: str) -> DataFrame:
+    """The ledger's periods as a small relation of known size, as the jobs pass them."""
+    return calendar.periods_frame(spark, calendar.list_periods(testmap.ledger(spark, d)))
+
+
 # -- ingest --------------------------------------------------------------------------
 def _parsed(spark: SparkSession, d: str) -> DataFrame:
     path = fresh_folder(spark, "extract")
@@ -445,12 +450,12 @@ def prior_period_compare(spark, d):
     rows = with_exprs(_with_domain(spark, d), measures.scenario_columns("dom_l1"))
     names = ["mtd_aed_actual", "mtd_lcy_actual", "ytd_aed_actual", "ytd_lcy_actual"]
     monthly = rows.groupBy(*COARSE, "time_key").agg(*[total(n) for n in names])
-    return compare.compare(monthly, monthly, periods_of(testmap.ledger(spark, d)), COARSE)
+    return compare.compare(monthly, monthly, known_periods(spark, d), COARSE)
 
 
 @query
 def gl_fact(spark, d):
-    return gl_plan.gl_fact(base_of(spark, d), None, periods_of(testmap.ledger(spark, d)),
+    return gl_plan.gl_fact(base_of(spark, d), None, known_periods(spark, d),
                            testmap.dimensions(spark, d))
 
 
@@ -532,12 +537,12 @@ def rule_tagging(spark, d):
 
 @query
 def tag_writeback(spark, d):
-    rows = gl_of(spark, d).select(*schemas.GL_KEYS, "time_key", "net_pl", "mtd_aed")
+    rows = gl_of(spark, d).select(*schemas.GL_KEYS, "time_key", *rollup.GL_MEASURES)
     return tags.tag_in_place(rows, testmap.dimensions(spark, d).for_tags())
 
 
 def _compared(spark, d):
-    return gl_plan.gl_base(base_of(spark, d), None, periods_of(testmap.ledger(spark, d)),
+    return gl_plan.gl_base(base_of(spark, d), None, known_periods(spark, d),
                            testmap.dimensions(spark, d))
 
 
@@ -551,8 +556,7 @@ def statement_lines(spark, d):
 def statement_lines_by_source(spark, d):
     dim = testmap.dimensions(spark, d)
     out = lines.statement_lines(_compared(spark, d), dim.gl_accounts, dim.profit_centre, by_source=True)
-    return out.select(*schemas.LINE_KEYS, "source_system_id", "gl_account_id", "net_pl", "mtd_aed",
-                      "ytd_lcy_budget", "rwa_total", "prev_mth1_mtd_aed")
+    return out.select(*schemas.LINE_KEYS, "source_system_id", "gl_account_id", *lines.LINE_MEASURES)
 
 
 # -- calendar ------------------------------------------------------------------------------------------------

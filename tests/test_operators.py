@@ -277,3 +277,70 @@ def test_store_reads_only_the_folders_asked_for(spark, tmp_path):
         store.publish(_facts(spark, factor).unionByName(_facts(spark, factor).withColumn("time_key", F.lit(20000331))))
     files = store.read_latest([20000229]).inputFiles()
     assert files and all("time_key=20000229/version_id=2/" in f for f in files)
+
+
+# Accounts by level 1 to 6, domain, source and centre, and the lines they belong to, by hand.
+LINE_CASES = {
+    "investment": (("10000000", "10300000", "x", "x", "x"), "1", "T24", "PC1", "13000 13002 13008 13010"),
+    "performing loan": (("10000000", "10500000", "10510000", "10511000", "x"), "1", "T24", "PC1", "13001 13002 13004 13010"),
+    "second loan class": (("10000000", "10500000", "10520000", "10521000", "x"), "1", "T24", "PC1", "13001 13002 13010"),
+    "third loan class": (("10000000", "10500000", "10510000", "10512000", "x"), "1", "T24", "PC1", "13001 13002 13010"),
+    "not earning": (("10000000", "10600000", "x", "x", "x"), "1", "T24", "PC1", "13002"),
+    "deposits": (("30000000", "30300000", "x", "x", "x"), "1", "T24", "PC1", "13003 13005 13011"),
+    "equity": (("35000000", "35000000", "x", "x", "x"), "1", "T24", "PC1", "13003"),
+    "bank borrowing": (("30000000", "30100000", "30130000", "x", "x"), "1", "T24", "PC1", "13003 13008 13011"),
+    "not bearing": (("30000000", "30400000", "x", "x", "x"), "1", "T24", "PC1", "13003"),
+    "interest": (("60000000", "60100000", "60110000", "x", "x"), "1", "T24", "PC1", "67001 67004 67007 67011 67013 67017"),
+    "fees": (("60000000", "60200000", "60210000", "x", "x"), "1", "T24", "PC1", "67002 67003 67004 67007 67011 67013 67017"),
+    "fees, unknown centre": (("60000000", "60200000", "60210000", "x", "x"), "1", "T24", "PC9", "67002 67003 67004 67007 67017"),
+    "direct cost": (("70000000", "70300000", "70310000", "x", "x"), "1", "T24", "PC1", "67005 67006 67007 67011 67013 67017"),
+    "other cost": (("70000000", "70300000", "x", "x", "x"), "1", "T24", "PC1", "67006 67007 67011 67013 67017"),
+    "apart cost": (("70000000", "70300000", "70310000", "x", "70314100"), "1", "T24", "PC1", "67007 67017"),
+    "apart cost, other source": (("70000000", "70300000", "70310000", "x", "70314100"), "1", "AEI", "PC1", "67017"),
+    "apart cost, own centre": (("70000000", "70300000", "70310000", "x", "70314100"), "1", "AEI", "21010", "67006 67011 67013 67017"),
+    "impairment": (("77000000", "x", "x", "x", "x"), "1", "T24", "PC1", "67008 67010 67011 67013 67017"),
+    "impairment, unknown centre": (("77000000", "x", "x", "x", "x"), "1", "T24", "PC9", "67008 67017"),
+    "tax": (("78000000", "x", "x", "x", "x"), "1", "T24", "PC1", "67009 67011 67013 67017"),
+    "equity charge": (("79000000", "x", "x", "x", "x"), "1", "T24", "PC1", "67013 67017"),
+    "risk by domain": (("10000000", "10600000", "x", "x", "x"), "20", "T24", "PC1", "13002 67016"),
+    "risk account elsewhere": (("10000000", "10600000", "x", "x", "x"), "50", "T24", "PC1", "13002"),
+}
+
+
+def test_every_statement_line(spark):
+    ids = {name: f"C{i}" for i, name in enumerate(LINE_CASES)}
+    known = literal_rows(spark, [(ids[n], "BS", "N", "d", *c[0], "x") for n, c in LINE_CASES.items()] + [
+        ("813714", "BS", "N", "d", "10000000", "10600000", "x", "x", "x", "x")],
+        ["gl_account_id", "gl_pl_flag", "is_internal_account", "gl_account_levl2_desc", *LEVELS])
+    gl = literal_rows(spark, [(ids[n], c[3], "E1", c[1], c[2]) for n, c in LINE_CASES.items()] + [
+        ("813714", "PC1", "E1", "50", "T24"), ("nowhere", "PC1", "E1", "19", "T24"), ("-13000", "PC1", "E1", "19", "T24")],
+        ["gl_account_id", "profit_centre", "legal_entity", "domain_id", "source_system_id"])
+    centres = literal_rows(spark, [("PC1", "E1"), ("21010", "E1")], ["profit_centre_cd", "entity"])
+    got = {r[0]: " ".join(r[1]) for r in lines.with_matches(gl, known, centres)
+           .selectExpr("gl_account_id", f"{lines.line_ids()} AS ids").collect()}
+    assert {n: got[ids[n]] for n in LINE_CASES} == {n: c[4] for n, c in LINE_CASES.items()}
+    assert (got["813714"], got["nowhere"], got["-13000"]) == ("13002 67016", "67016", "")
+    assert len({x for c in LINE_CASES.values() for x in c[4].split()}) == 23
+
+
+# Measures by account levels 3, 4 and 5, by hand.
+MEASURE_CASES = [
+    ("60110000", "x", "x", "gross_interest_income"), ("60120000", "x", "x", "gross_interest_expense"),
+    ("x", "x", "60141100", "asset_cof"), ("x", "x", "60141200", "lp_charge"), ("x", "x", "60131200", "lp_credit"),
+    ("x", "x", "60131300", "liability_cof"), ("60150000", "x", "x", "derivatives_income"),
+    ("60210000", "x", "x", "fee_income"), ("60230000", "x", "x", "fx_income"),
+    ("60240000", "x", "x", "net_investment_income"), ("60161000", "x", "x", "oth_income"),
+    ("60250000", "x", "x", "oth_income"), ("60260000", "x", "x", "oth_income"),
+    ("x", "60132000", "x", "interbranch_income"), ("x", "x", "60131100", "interbranch_income"),
+    ("x", "60142000", "x", "interbranch_expense"), ("x", "x", "60141300", "interbranch_expense"),
+    ("60220000", "60133000", "60131400", None),
+]
+
+
+def test_every_measure(spark):
+    known = literal_rows(spark, [(str(i), "PL", "N", "d", "x", "x", *c[:3], "x") for i, c in enumerate(MEASURE_CASES)],
+                         ["gl_account_id", "gl_pl_flag", "is_internal_account", "gl_account_levl2_desc", *LEVELS])
+    names = sorted({c[3] for c in MEASURE_CASES if c[3]})
+    assert len(names) == 13
+    got = {r["gl_account_id"]: [n for n in names if r[f"is_{n}"]] for r in measures.account_flags(known).collect()}
+    assert got == {str(i): [c[3]] if c[3] else [] for i, c in enumerate(MEASURE_CASES)}
