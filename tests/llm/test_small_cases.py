@@ -153,7 +153,7 @@ def _line_groups(docs):
                 first.setdefault(n, (i, p))
     code = {n: _simhash(n) for n in first}
     close = [(first[a], first[b]) for a, b in combinations(first, 2) if (code[a] ^ code[b]).bit_count() <= 3
-             and 10 * abs(len(a) - len(b)) <= 2 * max(len(a), len(b)) and 10 * _edits(a, b) <= 2 * max(len(a), len(b))]
+             and 5 * _edits(a.split(" "), b.split(" ")) <= max(len(a.split(" ")), len(b.split(" ")))]
     assert close
     of = joined(close, first.values())
     return sorted({(i, p, *of[first[n]], (i, p) == of[first[n]]) for i, p, n in at})
@@ -168,7 +168,7 @@ def test_lines_against_brute_force(spark, monkeypatch, small):
     for i in range(36):
         words = rnd.choice(base).split(" ")
         words[rnd.randrange(len(words))] += "x"
-        docs.append((i, "Short one\n" + " ".join(words) + "\n" + rnd.choice(base) + ("\n" + "a b c " * 6000 if i < 2 else "")))
+        docs.append((i, "Short one\n" + " ".join(words) + "\n" + rnd.choice(base) + ("\n" + "a b c " * 3000 if i < 2 else "")))
     docs += [(50, None), (51, ""), docs[3]]
     df = spark.createDataFrame([(*d, 1, 2) for d in docs], "doc_id bigint, text string, pos int, cid int")
     got = sorted({tuple(r) for r in linededup.groups(df).select("id", "pos", "group_id", "group_pos", "kept").collect()})
@@ -265,9 +265,8 @@ def _shingles(t, k):
     return {tuple(w[i:i + k]) for i in range(max(len(w) - k + 1, 1))} if w else set()
 
 
-@pytest.mark.parametrize(("frequent", "small"), [(16, 24), (2, 2), (0, 2)])
-def test_ngram_links_against_brute_force(spark, monkeypatch, frequent, small):
-    monkeypatch.setattr(ngramjoin, "SMALL", small)
+@pytest.mark.parametrize("frequent", [16, 2, 0])
+def test_ngram_links_against_brute_force(spark, frequent):
     rnd = random.Random(frequent)
     base = [text(rnd, n) for n in (3, 7, 20, 60, 120, 400)]
     docs = []
