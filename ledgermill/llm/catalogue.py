@@ -179,14 +179,11 @@ SELECT doc_id, len(sh) AS n_shingles, (SELECT min(reach) FROM r WHERE r.doc_id =
 """
 
 
-POWER = 0.7
-
-
 @query
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampling probability of every document for tempered source, language and topic shares, and whether it is kept."""
     measured = stage(mixing.measure(table(spark, sf_dir, "documents")), "mix-documents")
-    chances = mixing.probabilities(measured, POWER)
+    chances = mixing.probabilities(measured)
     return (measured.join(chances, ["source", "lang", "topic"])
                     .select(F.col("id").alias("doc_id"), "source", "lang", "topic", "tokens",
                             F.round("probability", 6).alias("probability"), mixing.below("id", "probability").alias("kept")))
@@ -212,7 +209,7 @@ WITH d AS MATERIALIZED (
          greatest(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')), 1) AS tokens
   FROM documents),
 g AS (SELECT source, lang, topic, CAST(sum(tokens) AS DOUBLE) AS tokens FROM d GROUP BY ALL),
-""" + ",\n".join(f"""s_{m} AS (SELECT {m}, pow(sum(tokens), {POWER}) AS p FROM g GROUP BY {m}),
+""" + ",\n".join(f"""s_{m} AS (SELECT {m}, pow(sum(tokens), {mixing.POWER}) AS p FROM g GROUP BY {m}),
 t_{m} AS (SELECT {m}, p / sum(p) OVER () AS t_{m} FROM s_{m})""" for m in ("source", "lang", "topic")) + f""",
 c0 AS MATERIALIZED (
   SELECT g.*, tokens / sum(tokens) OVER () AS w, t_source, t_lang, t_topic

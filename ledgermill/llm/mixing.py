@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgermill.llm.sharding import draw
@@ -22,6 +22,8 @@ from ledgermill.session import stage
 
 NONE = "(none)"
 TOLERANCE, SWEEPS = 1e-9, 100
+# Shares are raised to this power: 1 leaves them as they are, 0 makes them equal.
+POWER = 0.85
 # Topics by the first list of which a text holds a string; else "prose".
 TOPICS = (("legal", ("icense", "opyright")), ("contact", ("@", "http")), ("table", (" | ",)))
 
@@ -62,34 +64,31 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], tolerance: float =
     total = cells.agg(F.sum("tokens")).first()[0]
     if total is None:
         return cells.withColumn("factor", F.lit(1.0))
+    # (value, target, factor): small next to the cells, one row for each value.
     factors = {m: stage(cells.select(m).distinct().join(targets[m], m, "left")
-                        .select(m, F.when(F.col("target") > 0, 1.0).otherwise(0.0).alias("factor")), "mix-factor")
+                        .selectExpr(m, "coalesce(target, 0D) AS target", "CASE WHEN target > 0 THEN 1D ELSE 0D END AS factor"), "mix-factor")
                for m in margins}
-
-    def weighed(but: str | None = None) -> DataFrame:
-        out = cells.withColumn("w", F.col("tokens") / F.lit(float(total)))
-        for m in margins:
-            if m != but:
-                out = out.join(factors[m], m).withColumn("w", F.col("w") * F.col("factor")).drop("factor")
-        return out
-
     for _ in range(sweeps):
-        moved = 0.0
+        moved = []
         for m in margins:
-            sums = weighed(m).groupBy(m).agg(F.sum("w").alias("w"))
-            new = stage(sums.join(targets[m], m, "left").select(
-                m, F.expr("CASE WHEN target > 0 AND w > 0 THEN target / w ELSE 0D END").alias("factor")), "mix-factor")
-            if m == margins[0]:
-                change = new.join(factors[m].withColumnRenamed("factor", "old"), m)
-                moved = change.agg(F.max(F.expr("CASE WHEN old = 0 THEN factor ELSE abs(factor / old - 1) END"))).first()[0]
-            factors[m] = new
-        if moved <= tolerance:
+            weighed = cells.withColumn("w", F.col("tokens") / F.lit(float(total)))
+            for other in margins:
+                if other != m:
+                    weighed = weighed.join(factors[other].select(other, F.col("factor").alias(f"factor_{other}")), other)
+                    weighed = weighed.withColumn("w", F.expr(f"w * factor_{other}")).drop(f"factor_{other}")
+            seen = Observation()
+            new = weighed.groupBy(m).agg(F.sum("w").alias("w")).join(factors[m], m).selectExpr(
+                m, "target", "CASE WHEN target > 0 AND w > 0 THEN target / w ELSE 0D END AS factor", "factor AS old")
+            new = new.observe(seen, F.max(F.expr("CASE WHEN old = 0 THEN factor ELSE abs(factor / old - 1) END")).alias("moved"))
+            factors[m] = stage(new.drop("old"), "mix-factor")
+            moved.append(seen.get["moved"] or 0.0)
+        if max(moved) <= tolerance:
             break
     else:
         raise ValueError("the targets contradict each other: raking does not settle")
     out = cells
     for m in margins:
-        out = out.join(factors[m].withColumnRenamed("factor", f"factor_{m}"), m)
+        out = out.join(factors[m].select(m, F.col("factor").alias(f"factor_{m}")), m)
     whole = " * ".join(f"`factor_{m}`" for m in margins)
     return stage(out.select(*cells.columns, F.expr(whole).alias("factor")), "mix-cells")
 
@@ -101,7 +100,7 @@ def measure(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
                        tokens(text).alias("tokens"))
 
 
-def probabilities(measured: DataFrame, power: float = 0.7, targets: Mapping[str, DataFrame] | None = None) -> DataFrame:
+def probabilities(measured: DataFrame, power: float = POWER, targets: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """(source, lang, topic, probability) of each cell of ``measured``."""
     margins = ["source", "lang", "topic"]
     cells = stage(measured.groupBy(*margins).agg(F.sum("tokens").alias("tokens")), "mix-cells")
@@ -115,7 +114,7 @@ def below(key: str, probability: str) -> Column:
     return F.expr(f"""({draw(key, "'mix'")} + 0.5D) / 4503599627370496D < {probability}""")
 
 
-def sample(docs: DataFrame, power: float = 0.7, key: str = "doc_id", text: str = "text") -> DataFrame:
+def sample(docs: DataFrame, power: float = POWER, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``docs`` sampled so that the expected token shares meet the tempered targets.
 
     Needs the columns source and lang; all columns are returned as they are. Rows with
