@@ -73,6 +73,28 @@ def test_raking_meets_the_targets(spark):
         mixing.rake(cells, {"source": t("source", ("a", .9), ("b", .1)), "topic": t("topic", ("p", .2), ("q", .8))}, sweeps=15)
 
 
+@pytest.mark.parametrize("own", ["one language more", "a language each"])
+def test_sources_with_a_language_of_their_own(spark, own):
+    langs = {"a": ["en"], "b": ["de"], "c": ["fr"]} if own == "a language each" else {"a": ["en", "de"], "b": ["en", "de"], "c": ["xx"]}
+    rnd = random.Random(6)
+    rows = [(i, text(rnd, 5 + i % 40) + (" http" if i % 5 == 0 else ""), s, langs[s][i // 7 % len(langs[s])])
+            for i in range(300) for s in ["aaaabbc"[i % 7]]]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
+    measured = mixing.measure(df)
+    got = mixing.probabilities(measured).collect()
+    assert len(got) == measured.select("source", "lang", "topic").distinct().count()
+    assert all(0 < r["probability"] <= 1 for r in got) and max(r["probability"] for r in got) == 1
+    cells = measured.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens"))
+    targets = mixing.tempered(cells, ["source", "lang", "topic"], mixing.POWER)
+    off = {(r["margin"], r["value"]): (r["target"], r["share"])
+           for r in mixing.missed(mixing.rake(cells, targets, strict=False), targets).collect()}
+    # The share of the source and its language is one number, between the two targets.
+    (t, x), (u, y) = off["source", "c"], off["lang", langs["c"][0]]
+    assert abs(x - y) < 1e-9 and min(t, u) - 1e-9 <= x <= max(t, u) + 1e-9
+    assert max(abs(t - x) for t, x in off.values()) < 0.1
+    assert mixing.sample(df).count() > 0
+
+
 def test_sample_handles_nulls_and_clashing_names(spark):
     rows = [(i, None if i % 7 == 0 else f"w{i} w", "s" if i % 3 else None, "en", 1.0) for i in range(60)] + [(None, "", "s", None, 1.0)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string, probability double")
