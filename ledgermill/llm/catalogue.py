@@ -224,7 +224,7 @@ FROM d JOIN p USING (source, lang, topic)
 
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line of five words or more: the first occurrence of its group, and whether it is kept."""
-    out = linededup.groups(table(spark, sf_dir, "documents"))
+    """Every line that is not blank: the first occurrence of its group, and whether it is kept."""
+    out = linededup.whole_groups(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), F.col("pos").alias("line_no"), F.col("group_id").alias("group_doc_id"),
                       F.col("group_pos").alias("group_line_no"), "kept")

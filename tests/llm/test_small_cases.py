@@ -201,6 +201,49 @@ def test_lines_against_brute_force(spark, monkeypatch, small):
     assert linededup.dedup(df.limit(0)).count() == 0
 
 
+def _plain(line):
+    return regex.sub(r"[^\p{L}\p{N}]+", " ", line.lower()).strip(" ") or regex.sub(r"\s+", " ", line).strip(" ")
+
+
+def test_whole_lines_against_brute_force_on_edit_similarity_alone(spark):
+    rnd = random.Random(7)
+    letters = "abcdefghijklmnopqrst"
+    word = lambda: "".join(rnd.choice(letters) for _ in range(rnd.randrange(2, 9)))
+    lines = []
+    for n in (1, 2, 3, 4, 6, 10, 20, 40, 80) * 6:
+        line = " ".join(word() for _ in range(n))
+        lines.append(line)
+        words = line.split(" ")
+        for _ in range(max(n // 7, 1)):  # words replaced
+            words[rnd.randrange(n)] = word()
+        lines.append(" ".join(words))
+        typos = list(line)
+        for _ in range(max(len(line) // 8, 1)):  # letters replaced
+            typos[rnd.randrange(len(typos))] = rnd.choice(letters)
+        lines.append("".join(typos))
+    run = "".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(60))
+    lines += [run, run[:20] + run[21:], "-----", "-----", "Menu", "menu!", "\r", " ", "", "12 34 56 78 90", "98 76 54 32 10"]
+    docs = [(i, "\n".join(lines[i::9])) for i in range(9)] + [(50, None), (51, "")]
+    at = [(i, p, n) for i, t in docs if t for p, x in enumerate(t.split("\n")) if (n := _plain(x))]
+    first = {}
+    for i, p, n in at:
+        first.setdefault(n, (i, p))
+    similar = lambda a, b: abs(len(a) - len(b)) * 5 <= max(len(a), len(b)) and 5 * _edits(a, b) <= max(len(a), len(b))
+    close = [(a, b) for a, b in combinations(first, 2) if similar(a, b)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {(r["id"], r["pos"]): r for r in linededup.whole_groups(df).collect()}
+    assert sorted(got) == sorted((i, p) for i, p, _ in at)
+    name = {n: (got[x]["group_id"], got[x]["group_pos"]) for n, x in first.items()}
+    assert all((got[i, p]["group_id"], got[i, p]["group_pos"]) == name[n] for i, p, n in at)
+    of = joined([(first[a], first[b]) for a, b in close], first.values())
+    assert all(of[x] == of[name[n]] for n, x in first.items())  # no line is with another that brute force does not link
+    found = [name[a] == name[b] for a, b in close]
+    assert len(found) > 60 and sum(found) >= 0.97 * len(found)
+    assert all(name[a] == name[b] for a, b in close if max(len(a), len(b)) < linededup.SHORT)
+    assert name[run] == name[run[:20] + run[21:]] and name["12 34 56 78 90"] != name["98 76 54 32 10"]
+    assert linededup.whole_groups(df.limit(0)).count() == 0
+
+
 def test_block_masks_cover_every_choice():
     for n in (10, 10 ** 6, 10 ** 11):
         masks = linededup.blocks(n)
