@@ -244,6 +244,18 @@ def test_whole_lines_against_brute_force_on_edit_similarity_alone(spark):
     assert linededup.whole_groups(df.limit(0)).count() == 0
 
 
+def _first_of(spark, lines):
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id bigint, text string")
+    return {r["id"]: r["group_id"] for r in linededup.whole_groups(df).collect()}
+
+
+def test_short_lines_and_lines_without_blanks_are_compared_and_returned(spark):
+    rnd = random.Random(8)
+    run = "".join(chr(0x3042 + rnd.randrange(60)) for _ in range(90))
+    lines = ["Home", "home!", "Contact us", "Contact  us.", "* * *", "* * *", run, run[:30] + "x" + run[31:], "", " \t", "Imprint"]
+    assert _first_of(spark, lines) == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4, 5: 4, 6: 6, 7: 6, 10: 10}
+
+
 def test_block_masks_cover_every_choice():
     for n in (10, 10 ** 6, 10 ** 11):
         masks = linededup.blocks(n)
