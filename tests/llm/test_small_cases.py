@@ -256,6 +256,17 @@ def test_short_lines_and_lines_without_blanks_are_compared_and_returned(spark):
     assert _first_of(spark, lines) == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4, 5: 4, 6: 6, 7: 6, 10: 10}
 
 
+def test_lines_are_verified_by_characters(spark, monkeypatch):
+    five = "breakfast afternoon understanding telephone yesterday"
+    ocr = " ".join("the quick brown foxes jumped over seventeen sleeping watchdogs".split() * 3)
+    lines = [five, five.replace("kf", "xf").replace("ph", "qh"), ocr, ocr.replace("ee", "ec").replace("ox", "0x").replace("ui", "ul")]
+    words = [sum(a != b for a, b in zip(x.split(), y.split(), strict=True)) / len(x.split()) for x, y in zip(lines[::2], lines[1::2], strict=True)]
+    assert min(words) > .2  # by words they differ too much
+    assert _first_of(spark, lines) == {0: 0, 1: 0, 2: 2, 3: 2}
+    monkeypatch.setattr(linededup, "LONG", 20)  # above it, words count
+    assert _first_of(spark, lines) == {0: 0, 1: 1, 2: 2, 3: 3}
+
+
 def test_block_masks_cover_every_choice():
     for n in (10, 10 ** 6, 10 ** 11):
         masks = linededup.blocks(n)
