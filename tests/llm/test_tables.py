@@ -52,3 +52,10 @@ def test_pipeline(spark, engine):
     lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     for r in corpus_pipeline.encode(spark, docs, SF).collect():
         assert list(r["ids"]) == lib.encode(seen[3][r["doc_id"]]["text"], add_special_tokens=False).ids
+
+
+def test_texts_emptied_by_the_line_stage_are_one_group(spark):
+    rows = [(7, ""), (3, None), (5, " \n"), (None, ""), (9, "one two three")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = corpus_pipeline.drop_near_copies(spark, df, SF).collect()
+    assert sorted(r["doc_id"] for r in got) == [3, 9]
