@@ -1,11 +1,17 @@
 """The queries on the given tables, against SQL where there is some."""
 
+import hashlib
+import random
+from itertools import combinations
+
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from ledgermill.llm import mixing
 from ledgermill.llm.catalogue import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
@@ -59,3 +65,37 @@ def test_texts_emptied_by_the_line_stage_are_one_group(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = corpus_pipeline.drop_near_copies(spark, df, SF).collect()
     assert sorted(r["doc_id"] for r in got) == [3, 9]
+
+
+def test_near_copies_and_mix_against_brute_force(spark):
+    rnd = random.Random(11)
+    word = lambda: rnd.choice("abcdefgh") * 2 + str(rnd.randrange(400))
+    base = [[word() for _ in range(n)] for n in (4, 12, 40, 150, 300)]
+    docs = []
+    for i in range(120):
+        words = list(rnd.choice(base)) if i % 3 else [word() for _ in range(30)]
+        for _ in range(rnd.choice((0, 1, 2, 4, 6))):
+            words[rnd.randrange(len(words))] = word()
+        docs.append((i, " ".join(words) + (" http" if i % 4 == 0 else ""), "en" if i % 5 else "de", f"s{i % 7 // 3}"))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string")
+    sets = [{tuple(w[k:k + 5]) for k in range(max(len(w) - 4, 1))} for w in (d[1].split() for d in docs)]
+    least = list(range(len(docs)))
+    links = [(a, b) for a, b in combinations(least, 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    for _ in docs:
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    kept = spark.createDataFrame(corpus_pipeline.drop_near_copies(spark, df, SF).collect(), df.schema)
+    want = [d for d in docs if least[d[0]] == d[0]]
+    assert sorted(map(tuple, kept.collect())) == want and 60 < len(want) < 115
+    # Raking and the draw by hand.
+    keys = [(d[3], d[2], "contact" if "http" in d[1] else "prose") for d in want]
+    index = [np.unique([k[m] for k in keys], return_inverse=True)[1] for m in range(3)]
+    tokens = np.array([len(d[1].split()) for d in want]) / sum(len(d[1].split()) for d in want)
+    goal = [np.bincount(i, tokens) ** mixing.POWER for i in index]
+    factor = np.ones(len(want))
+    for _ in range(300):
+        for i, g in zip(index, goal, strict=True):
+            factor *= (g / g.sum() / np.bincount(i, tokens * factor))[i]
+    drawn = [(int(hashlib.md5(f"k{d[0]}/mix".encode()).hexdigest()[:13], 16) + .5) / 2 ** 52 for d in want]
+    sample = [d for d, x, p in zip(want, drawn, factor / factor.max(), strict=True) if x < p]
+    assert sorted(map(tuple, corpus_pipeline.mix(spark, kept, SF).collect())) == sample and 0 < len(sample) < len(want)
