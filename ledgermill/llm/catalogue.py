@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import chat, codec, exact, lattice, linededup, mixing, ngramjoin, quality, sharding, tokencount
+from ledgermill.llm import (chat, codec, exact, hardneg, lattice, linededup, mixing, ngramjoin, prefix, quality, sharding,
+                            spelling, tokencount)
 from ledgermill.llm.common import table
 from ledgermill.session import stage
 
@@ -56,17 +57,24 @@ def _draw(key: str, salt: str) -> str:
 
 
 # CRC-32 is folded over the bytes with a table of 256 remainders, made by its rule.
-SQL["op1_sharding"] = f"""
-WITH remainders AS (
+_REMAINDERS = """remainders AS (
   SELECT list(list_reduce(list_prepend(i, range(8)),
                           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
-  FROM range(256) AS r(i)),
+  FROM range(256) AS r(i))"""
+
+
+def _crc32(text: str) -> str:
+    return f"""xor(4294967295, list_reduce(
+           list_prepend(CAST(4294967295 AS BIGINT),
+             list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: CAST('0x' || x AS BIGINT))),
+           lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])))"""
+
+
+SQL["op1_sharding"] = f"""
+WITH {_REMAINDERS},
 docs AS (
   SELECT doc_id, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size, 'key' AS law,
-         xor(4294967295, list_reduce(
-           list_prepend(CAST(4294967295 AS BIGINT),
-             list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: CAST('0x' || x AS BIGINT))),
-           lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]))) AS text_crc32
+         {_crc32("coalesce(text, '')")} AS text_crc32
   FROM documents, remainders),
 bids AS (
   SELECT *, list_transform(range({SHARDS} + 1), lambda s: {{'score':
@@ -228,3 +236,80 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linededup.whole_groups(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), F.col("pos").alias("line_no"), F.col("group_id").alias("group_doc_id"),
                       F.col("group_pos").alias("group_line_no"), "kept")
+
+
+# One run in so many is planted as a misspelling.
+MISSPELT = 97
+
+
+@query
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and root of every frequent word, with the planted misspellings."""
+    runs = spelling.runs(table(spark, sf_dir, "documents"))
+    return spelling.variants(spelling.words(spelling.misspelt(runs, MISSPELT)))
+
+
+SQL["op11_spelling"] = f"""
+WITH RECURSIVE {_REMAINDERS},
+r AS (
+  SELECT doc_id, run, count(*) AS k FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, '{spelling.UPPER}', '{spelling.LOWER}'), '{spelling.RUNS}')) AS run
+    FROM documents) GROUP BY ALL),
+h AS (SELECT run, k, {_crc32("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h FROM r, remainders),
+w AS MATERIALIZED (
+  SELECT word, CAST(sum(k) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % {MISSPELT} = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, k FROM h)
+  WHERE length(word) >= {spelling.LEAST_LENGTH} GROUP BY word HAVING sum(k) >= {spelling.LEAST_COUNT}),
+d AS MATERIALIZED (
+  SELECT word, n, i, word[:i - 1] || word[i + 1:] AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+p AS MATERIALIZED (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM d AS a JOIN d AS b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT d.word, w.word, w.n FROM d JOIN w ON d.rest = w.word
+  UNION SELECT w.word, d.word, d.n FROM d JOIN w ON d.rest = w.word),
+b AS MATERIALIZED (
+  SELECT w.word, any_value(w.n) AS n, count(near) AS n_near, first(near ORDER BY near_n DESC, near) AS best, max(near_n) AS best_n
+  FROM w LEFT JOIN p USING (word) GROUP BY w.word),
+f AS MATERIALIZED (
+  SELECT word, n, n_near, CASE WHEN best_n >= {spelling.RATIO} * n THEN best END AS form,
+         CASE WHEN best_n >= {spelling.RATIO} * n THEN best_n END AS form_n FROM b),
+g AS (SELECT word, word AS root FROM f UNION ALL SELECT g.word, f.form FROM g JOIN f ON f.word = g.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, g.root, f.n, f.n_near, f.form_n
+FROM f JOIN g USING (word) JOIN f AS e ON e.word = g.root WHERE e.form IS NULL
+"""
+
+
+@query
+def op12_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text by ranks and the bytes they decode to, as digests."""
+    out = prefix.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return out.withColumnRenamed("id", "doc_id").drop("same")
+
+
+ANCHORS = 50
+RELABELLED = "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives of every anchor and positive; one label in seven is moved on."""
+    return hardneg.mine(table(spark, sf_dir, "embeddings").withColumn("label", F.expr(RELABELLED)), every=ANCHORS)
+
+
+SQL["op13_hard_negatives"] = f"""
+WITH e AS MATERIALIZED (
+  SELECT vec_id, {RELABELLED} AS label, list_transform(embedding, lambda x: floor({hardneg.SCALE} * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM e AS a JOIN e AS b ON a.vec_id % {ANCHORS} = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= {hardneg.POSITIVES})
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND {hardneg.LOWEST} * positive_score <= 100 * score AND 100 * score <= {hardneg.HIGHEST} * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER w <= {hardneg.NEGATIVES}
+"""
