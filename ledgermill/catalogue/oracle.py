@@ -14,6 +14,7 @@ from ..operators.rollup import CUSTOMER_MEASURES, CUSTOMER_RENAMES, GL_MEASURES,
 from ..sources.placeholder import PLACEHOLDER_KEYS
 
 KEYS = ", ".join([*schemas.DEAL_KEYS, "time_key"])
+RELOADED = f"CASE WHEN amount_class = 'MGTBGT' AND time_key // 10000 = {testmap.RELOADED_YEAR} THEN 2 ELSE 1 END"
 
 
 def sum_amount(expression: str, alias: str | None = None) -> str:
@@ -273,7 +274,7 @@ def gl(grain: str = "month", factor: str = "1") -> str:
     keys = ", ".join([*schemas.GL_KEYS, "time_key"])
     inner = ", ".join(f"{special.get(n, n)} AS {n}" for n in GL_MEASURES)
     return base(grain, factor) + "," + risk("base") + f""",
-gl AS (SELECT {keys}, {sums(GL_MEASURES)} FROM (SELECT {keys}, {inner} FROM risk) GROUP BY {keys})"""
+gl AS MATERIALIZED (SELECT {keys}, {sums(GL_MEASURES)} FROM (SELECT {keys}, {inner} FROM risk) GROUP BY {keys})"""
 
 
 def prior_key(column: str, months: int) -> str:
@@ -304,7 +305,7 @@ def tag_set(source: str) -> str:
         for tag, rules in chart.TAG_RULES.items())
     return f"""{OTHER_DIMS}, {ENTITY},
 starred AS (
-  SELECT g.*, geo_l2_code, dom.l2_code AS dom_l2_code, prod_code, prod_l2_code,
+  SELECT {", ".join(f"g.{k}" for k in [*schemas.TAG_KEYS, "time_key"])}, geo_l2_code, dom.l2_code AS dom_l2_code, prod_code, prod_l2_code,
     acc.gl_account_levl1_code AS acc_l1_code, acc.gl_account_levl2_code AS acc_l2_code,
     acc.gl_account_levl3_code AS acc_l3_code, acc.gl_account_levl6_code AS acc_l6_code,
     dept_l1_code, dept_l2_code, dept_l3_code, dept_l4_code, seg_l1_code, seg_l2_code
@@ -636,4 +637,12 @@ def statements() -> dict[str, str]:
         f"WITH {rebased} SELECT time_key, CAST(1 AS INT) AS version_id, dataset, amount_class, {n}, "
         + sums(["mtd_aed", "net_pl", "mtd_aed_actual", "mtd_lcy_budget", "prev_yr_curr_mth_ytd_aed",
                 "prev_mth1_mtd_aed"]) + ", count(gm_other) AS n_tagged FROM fact GROUP BY ALL")
+    once = gl_fact("year", RELOADED)
+    rows = ledger("year", RELOADED)
+    fixed = ", ".join(f"'{v}' AS {k}" for k, v in testmap.FEW_KEYS.items())
+    once = once.replace(rows, rows.replace("led AS (", "fine AS (") + f",\nled AS (SELECT * REPLACE ({fixed}) FROM fine)")
+    out["comparatives_refresh"] = (
+        f"WITH {once} SELECT time_key, dataset, amount_class, {n}, "
+        + sums(["mtd_aed", "mtd_aed_actual", "prev_yr_curr_mth_ytd_aed", "prev_yr_curr_mth_ytd_lcy"])
+        + ", count(gm_other) AS n_tagged FROM fact GROUP BY ALL")
     return out

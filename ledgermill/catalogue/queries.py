@@ -592,3 +592,16 @@ def budget_rebase(spark, d):
         count(), *[total(n) for n in ("mtd_aed", "net_pl", "mtd_aed_actual", "mtd_lcy_budget",
                                       "prev_yr_curr_mth_ytd_aed", "prev_mth1_mtd_aed")],
         F.expr("count(gm_other) AS n_tagged"))
+
+
+@query
+def comparatives_refresh(spark, d):
+    """A budget reload of one year; the year after it compares with it and is not reloaded."""
+    mart = Mart(spark, fresh_folder(spark, "mart"), testmap.dimensions(spark, d), testmap.GROUP)
+    ledger = with_exprs(testmap.ledger(spark, d, grain="year"), {k: f"'{v}'" for k, v in testmap.FEW_KEYS.items()})
+    mart.run("ALL", ledger)
+    one = ledger.where(f"time_key div 10000 = {testmap.RELOADED_YEAR}")
+    mart.run("BUDGET", with_exprs(one, {c: f"{c} * 2" for c in schemas.OUTSTANDING}))
+    return mart.gl.read_latest().groupBy("time_key", "dataset", "amount_class").agg(
+        count(), *[total(n) for n in ("mtd_aed", "mtd_aed_actual", "prev_yr_curr_mth_ytd_aed", "prev_yr_curr_mth_ytd_lcy")],
+        F.expr("count(gm_other) AS n_tagged"))

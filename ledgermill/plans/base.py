@@ -11,6 +11,7 @@ from ..functions.codes import null_defaults
 from ..functions.sql import with_exprs
 from ..operators import anchor, measures
 from ..operators.lookup import in_scope, lookup
+from ..operators.reconcile import observed
 from ..session import stage
 
 BASE_KEYS = [*schemas.DEAL_KEYS, "time_key"]
@@ -34,7 +35,19 @@ def stage_classified(ledger: DataFrame, accounts: DataFrame, label: str = "class
 
     A generated number is fixed once it is written, whatever is read again later.
     """
-    return stage(classify(ledger, accounts).withColumn("line_no", F.monotonically_increasing_id()), label)
+    return stage_observed(ledger, accounts, label)[0]
+
+
+# Amounts that every stage must keep, and what they are called in each.
+KNOWN_HALF = "bs_pl_flag IN ('BS', 'PL')"
+CONTROLS = {"month balance": "mtd_aed", "outstanding": "outstanding_balance_mtd_aed"}
+
+
+def stage_observed(ledger: DataFrame, accounts: DataFrame, label: str = "classified") -> tuple[DataFrame, dict[str, int]]:
+    """The same, and the control totals of the rows whose account is known."""
+    rows = classify(ledger, accounts).withColumn("line_no", F.monotonically_increasing_id())
+    rows, totals = observed(rows, {n: f"IF({KNOWN_HALF}, {a}, 0D)" for n, a in CONTROLS.items()})
+    return stage(rows, label), totals()
 
 
 def balance_rows(classified: DataFrame) -> DataFrame:

@@ -17,6 +17,11 @@ from .sources import ingest
 from .sources.dims import DIMENSION_COLUMNS, Dimensions
 
 GROUP = "GROUP"
+# The one year that the budget is reloaded for where later years are not.
+RELOADED_YEAR = 1997
+# Codes that make accounts of one year meet those of the next.
+FEW_KEYS = {"category_code": "21020", "currency_code": "AED", "customer_segment_code": "S1", "final_segment": "D0",
+            "profit_centre": "21010"}
 
 # Brand number -> account levels 1 to 6, for balance-sheet and profit-and-loss
 # accounts. A missing level is null.
