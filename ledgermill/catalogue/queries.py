@@ -490,14 +490,12 @@ def _group_rows(spark, d):
 
 @query
 def trimmed_key_join(spark, d):
-    joined = asof.join_customers(
-        _group_rows(spark, d), asof.latest_customers(testmap.customer_versions(spark, d), _periods(spark, d)))
+    joined = asof.join_customers(_group_rows(spark, d), testmap.customer_versions(spark, d), _periods(spark, d))
     return joined.select("row_id", "cust_start_time_key", "cust_end_time_key")
 
 
 def _with_contracts(spark, d):
-    return asof.join_contracts(
-        _group_rows(spark, d), asof.latest_contracts(testmap.contract_versions(spark, d), _periods(spark, d)))
+    return asof.join_contracts(_group_rows(spark, d), testmap.contract_versions(spark, d), _periods(spark, d))
 
 
 @query

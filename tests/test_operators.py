@@ -1,5 +1,7 @@
 """Edge cases on hand-made rows."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -166,11 +168,37 @@ def test_contract_routes(spark):
         ("d", " " + chart.NO_CONTRACT, "NA", "MM")],
         ["common_key", "contract_id", "banking_type", "source_system_id"]).selectExpr(
             "*", "'x' AS gl_account_id", "20180331 AS time_key")
-    got = asof.join_contracts(fact, asof.latest_contracts(contracts, [20180331]))
+    got = asof.join_contracts(fact, contracts, [20180331])
     found = {r[0]: r[1] for r in got.select("common_key", "deal_start_key").collect()}
     assert found == {"a": 20180201, "b": 20180101, "c": None, "d": 20180105}
 
 
+@pytest.mark.parametrize("most", [1000, 3, 0])
+def test_versions_of_crowded_keys(spark, monkeypatch, most):
+    """Overlapping versions, many of one key, against brute force; carried, met one by one, and mixed."""
+    monkeypatch.setattr(asof, "MOST_VERSIONS", most)
+    rnd, periods = random.Random(8), [20000131, 20000229, 20000331]
+    versions = [("c0" if rnd.random() < .5 else f" c{rnd.randrange(9)}", "CB", a, a + rnd.randrange(200))
+                for _ in range(120) for a in [20000101 + rnd.randrange(300)]] + [("c1", "CB", None, 20000331)]
+    fact = [(i, f"c{rnd.randrange(11)} ", rnd.choice(["CB", "XX"]), rnd.choice(periods)) for i in range(200)]
+    df = spark.createDataFrame(versions, "customer_number string, banking_type string, start_time_key int, end_time_key int")
+    rows = spark.createDataFrame(fact, "row int, customer_number string, banking_type_customer string, time_key int")
+    got = asof.join_customers(rows, df, periods).select("row", "cust_start_time_key", "cust_end_time_key", "cust_number")
+    want = []
+    for i, c, t, p in fact:
+        fit = [(s, e, n) for n, b, s, e in versions if s and n.strip() == c.strip() and b == t and s <= p <= e]
+        want.append((i, *(max(fit) if fit else (None, None, None))))
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_versions_do_not_multiply_with_periods(spark):
+    """What is joined has a row for each key, however many periods there are."""
+    df = spark.createDataFrame([("c", "CB", 20000101, 20191231)], "customer_number string, banking_type string, start_time_key int, end_time_key int")
+    rows = spark.createDataFrame([("c", "CB", 20000101 + i) for i in range(28)], "customer_number string, banking_type_customer string, time_key int")
+    got = asof.join_customers(rows, df, [20000101 + i for i in range(28)])
+    assert got.count() == 28 and "explode" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_statement_line_rules(spark):
     gl = literal_rows(spark, [("P2", "PC1", "E1"), ("P3", "PC1", "E1"), ("P3", "PC9", "E1"), ("A1", "PC9", "E1")],
                       ["gl_account_id", "profit_centre", "legal_entity"]).selectExpr(
