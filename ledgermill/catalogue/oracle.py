@@ -576,6 +576,10 @@ def statements() -> dict[str, str]:
     out["customer_aggregate"] = (
         f"WITH {base()}, {risk('base')} SELECT {cust_keys}, {sums(CUSTOMER_MEASURES)} "
         f"FROM (SELECT {cust_inner} FROM risk) GROUP BY {cust_keys}")
+    factor = "CASE right(deal_id, 1) " + " ".join(f"WHEN '{k}' THEN {f}" for k, f in dict(testmap.RELOADS).items()) + " ELSE 1 END"
+    out["incremental_customer"] = (
+        f"WITH {base('year', factor)}, {risk('base')} SELECT {cust_keys}, {sums(testmap.RELOADED)} "
+        f"FROM (SELECT {cust_inner} FROM risk) GROUP BY {cust_keys}")
     out["gl_aggregate"] = f"WITH {gl()} SELECT * FROM gl"
     coarse = ["legal_entity", "customer_segment_code", "amount_class", "domain_id"]
     compared_names = ["mtd_aed_actual", "mtd_lcy_actual", "ytd_aed_actual", "ytd_lcy_actual"]

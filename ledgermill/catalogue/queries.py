@@ -11,7 +11,7 @@ from .. import chart, schemas, testmap
 from ..functions import calendar, codes
 from ..functions.money import exact_sum
 from ..functions.sql import with_exprs
-from ..operators import anchor, asof, compare, lines, lookup, measures, reconcile, rollup, tags
+from ..operators import anchor, asof, compare, incremental, lines, lookup, measures, reconcile, rollup, tags
 from ..plans import base as base_plan
 from ..plans import gl as gl_plan
 from ..plans.pipeline import Mart
@@ -442,6 +442,32 @@ def gl_aggregate(spark, d):
     return gl_of(spark, d)
 
 
+@query
+def incremental_customer(spark, d):
+    """Customer sums after three reloads of some deals, each applied to the stored sums as a difference."""
+    accounts, domains, keys = testmap.gl_accounts(spark, d), testmap.domain(spark), schemas.CUSTOMER_KEYS
+    ledger = testmap.ledger(spark, d, grain="year")
+
+    def base(rows: DataFrame, factor: int) -> DataFrame:
+        return stage(base_plan.base_fact(with_exprs(rows, {c: f"{c} * {factor}" for c in schemas.OUTSTANDING}), accounts, domains), "base")
+
+    def state(rows: DataFrame) -> DataFrame:
+        return incremental.whole_sums(rollup.customer_rows(rows, domains, accounts), keys, testmap.RELOADED, schemas.MARGINS)
+
+    def of(rows: DataFrame, digit: str) -> DataFrame:
+        return rows.where(F.expr(f"right(contract_id, 1) = '{digit}'"))
+
+    first = base(ledger, 1)
+    held = {digit: of(first, digit) for digit, _ in testmap.RELOADS}
+    store = FactStore(spark, fresh_folder(spark, "sums"), ["amount_class"])
+    store.publish(state(first))
+    for digit, factor in testmap.RELOADS:
+        come = of(first, digit) if factor == 1 else base(of(ledger, digit), factor)
+        store.publish(incremental.applied(store.read_latest(), keys, state(come), state(held[digit])))
+        held[digit] = come
+    return incremental.amounts_of(store.read_latest(), keys, testmap.RELOADED, schemas.MARGINS)
+
+
 COARSE = ["legal_entity", "customer_segment_code", "amount_class", "domain_id"]
 
 

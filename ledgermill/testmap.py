@@ -19,6 +19,11 @@ from .sources.dims import DIMENSION_COLUMNS, Dimensions
 GROUP = "GROUP"
 # The one year that the budget is reloaded for where later years are not.
 RELOADED_YEAR = 1997
+# Reloads of the deals whose id ends in a digit, one after the other: the digit, and their factor then.
+RELOADS = [("3", 2), ("5", 3), ("3", 1)]
+# Sums that the reloads are shown by.
+RELOADED = ["outstanding_balance_mtd", "outstanding_balance_ytd_lcy", "avg_book_bal", "net_pl", "gross_interest_income",
+            "rwa_total", "net_int_margin"]
 # Codes that make accounts of one year meet those of the next.
 FEW_KEYS = {"category_code": "21020", "currency_code": "AED", "customer_segment_code": "S1", "final_segment": "D0",
             "profit_centre": "21010"}
