@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,9 +79,20 @@ def shared_folder(spark: SparkSession) -> str:
     return made
 
 
+# Folders made by the jobs that are open, innermost last.
+_OPEN: list[list[str]] = []
+
+
+def _applications(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/staged-{spark.sparkContext.applicationId}"
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that nothing has used before."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder, in a folder of this application, that nothing has used before."""
+    path = f"{_applications(spark)}/{label}-{uuid.uuid4().hex}"
+    for made in _OPEN:
+        made.append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -90,3 +104,52 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = fresh_folder(df.sparkSession, label)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()), there
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[list[str]]:
+    """Deletes at its end what was staged inside, also when the job fails.
+
+    Only for jobs that leave nothing unread: what a frame still reads must be staged outside.
+    """
+    made: list[str] = []
+    _OPEN.append(made)
+    try:
+        yield made
+    finally:
+        _OPEN.remove(made)
+        for path in made:
+            fs, there = _file_system(spark, path)
+            fs.delete(there, True)
+
+
+@contextmanager
+def staged_apart() -> Iterator[None]:
+    """What is staged inside outlives the jobs that are open."""
+    held, _OPEN[:] = list(_OPEN), []
+    try:
+        yield
+    finally:
+        _OPEN[:] = held
+
+
+def sweep(spark: SparkSession, hours: float = 7 * 24) -> list[str]:
+    """Deletes the staged folders of other applications in which nothing was made for so long.
+
+    A job that died cannot delete its own. Choose a time that no running job exceeds
+    between two stages. Returns the folders deleted.
+    """
+    fs, root = _file_system(spark, shared_folder(spark))
+    own, gone = _applications(spark).rsplit("/", 1)[1], []
+    before = (time.time() - hours * 3600) * 1000
+    for status in fs.listStatus(root) if fs.exists(root) else []:
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith("staged-") and name != own and status.getModificationTime() < before:
+            fs.delete(status.getPath(), True)
+            gone.append(name)
+    return sorted(gone)
