@@ -13,9 +13,8 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 CHECKED = ["ingest_ledger_keys", "dim_collapse", "select_balance", "rwa_classify", "pl_rollup", "anchor_rank",
            "prior_period_compare", "latest_valid_contract", "trimmed_key_join", "sentinel_routing",
            "store_overwrite_period", "store_replace_class", "calendar_series", "base_fact", "gl_fact",
-           "latest_valid_customer", "trimmed_key_join", "contract_join_sentinel", "contract_join_latest", "trial_balance",
-           "statement_lines", "tag_writeback", "comparatives_refresh",
-           "incremental_customer"]
+           "latest_valid_customer", "contract_join_sentinel", "contract_join_latest", "trial_balance",
+           "statement_lines", "tag_writeback", "comparatives_refresh"]
 
 
 @pytest.fixture(scope="module")
