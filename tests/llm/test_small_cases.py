@@ -267,6 +267,56 @@ def test_lines_are_verified_by_characters(spark, monkeypatch):
     assert _first_of(spark, lines) == {0: 0, 1: 1, 2: 2, 3: 3}
 
 
+@pytest.mark.parametrize("size", [6, 30, 300])
+def test_lines_copied_often_are_found_as_well_as_others(spark, size):
+    """Near copies of one line, all with a run that every other line has too, and skeletons whose slots differ."""
+    rnd = random.Random(size)
+    letters = "abcdefghijklmnopqrst"
+    word = lambda: "".join(rnd.choice(letters) for _ in range(rnd.randrange(3, 9)))
+    boiler = " all rights reserved by the owner"
+    lines, of = [], []
+    for g in range(max(90 // size, 2)):
+        base = " ".join(word() for _ in range(10)) + boiler
+        for _ in range(size):
+            line = list(base)
+            for k in rnd.sample(range(len(base) - len(boiler)), round(len(base) * .07)):
+                line[k] = rnd.choice(letters)
+            lines.append("".join(line))
+            of.append(g)
+    skeleton = "order {} of customer {} was shipped to the depot on the agreed date"
+    lines += [skeleton.format(word(), word()) for _ in range(size)]
+    of += [-1] * size
+    order = rnd.sample(range(len(lines)), len(lines))
+    df = spark.createDataFrame([(i, lines[k]) for i, k in enumerate(order)], "doc_id bigint, text string")
+    name = {r["id"]: r["group_id"] for r in linededup.whole_groups(df).collect()}
+    of, lines = [of[k] for k in order], [lines[k] for k in order]
+    pairs = [(i, j) for i, j in combinations(range(len(lines)), 2) if of[i] == of[j]]
+    some = rnd.sample(pairs, min(len(pairs), 1500))
+    close = [(i, j) for i, j in some if 5 * _edits(lines[i], lines[j]) <= max(len(lines[i]), len(lines[j]))]
+    found = sum(name[i] == name[j] for i, j in close)
+    assert len(close) > .8 * len(some) and found >= .97 * len(close), (found, len(close))
+    assert all(of[i] == of[name[i]] for i in range(len(lines)))
+
+
+def test_whole_lines_keep_repeated_rows_null_ids_and_clashing_names(spark):
+    docs = [(None, "the same line of text\nanother line stands here"), (1, "the same line of text"), (1, "the same line of text"),
+            (2, "a line of its own in this text\nThe same line, of text"), (3, None), (4, "")]
+    df = spark.createDataFrame([(*d, 1, 2, 3, "k") for d in docs], "doc_id bigint, text string, pos int, cid int, code int, key string")
+    got = sorted((tuple(r) for r in linededup.whole_groups(df).drop("body").collect()), key=str)
+    assert got == sorted([(None, 0, None, 0, True), (None, 1, None, 1, True), (1, 0, None, 0, False), (1, 0, None, 0, False),
+                          (2, 0, 2, 0, True), (2, 1, None, 0, False)], key=str)
+    back = sorted((tuple(r) for r in linededup.dedup(df, find=linededup.whole_groups).collect()), key=str)
+    want = [docs[0], (1, ""), (1, ""), (2, "a line of its own in this text"), (3, None), (4, "")]
+    assert back == sorted([(*d, 1, 2, 3, "k") for d in want], key=str)
+
+
+def test_a_text_of_very_many_equal_lines(spark):
+    text = "\n".join(["first line of them", *["the same old line"] * 150_000, "last line"])
+    df = spark.createDataFrame([(1, text), (2, "x\nlast line\n\ny")], "doc_id bigint, text string")
+    got = dict(tuple(r) for r in linededup.dedup(df, find=linededup.whole_groups).collect())
+    assert got == {1: "first line of them\nthe same old line\nlast line", 2: "x\n\ny"}
+
+
 def test_block_masks_cover_every_choice():
     for n in (10, 10 ** 6, 10 ** 11):
         masks = linededup.blocks(n)
