@@ -13,9 +13,10 @@ pairs at all: their prefixes run past the frequent tokens.
 Documents with equal sets are one node. Nodes that share an index entry are
 candidates: all pairs of a small entry, a star around the smallest node of a
 large one. Those that share too few single tokens to reach the threshold are
-screened out, the others verified on their whole sets. A second round compares
-what large entries hold of different components, so no link between components
-is lost.
+screened out, the others verified on their whole sets: first one candidate of each
+node, then those that lie in different components still, as only these can
+change a component. A second round compares what large entries hold of different
+components, in blocks, so no link between components is lost.
 
 Sets are of 63-bit hashes. Which tokens are frequent is a bitmap of fixed size; it
 only steers the index, so a wrong bit costs time, never a link.
@@ -39,6 +40,8 @@ from ledgermill.session import stage
 FREQUENT = 16
 # Entries of up to so many nodes give all their pairs.
 SMALL = 24
+# Members of a large entry that are compared with as many others in one group.
+BLOCK = 4096
 # log2 of the bits of each broadcast bitmap: 4 MB, whatever the data.
 BITS = 25
 
@@ -281,7 +284,8 @@ def _candidates(percent: int):
 def _across(percent: int):
     """Sorted (entry, part, node, n) of large entries to pairs of nodes of different parts, a block at a time."""
     def run(batches):
-        for g, whole in _groups(batches, ["entry", "part", "node", "n"], 1 << 62):
+        # A group has two blocks of members, so it is never cut.
+        for g, _ in _groups(batches, ["entry", "part", "node", "n"], 1 << 62):
             starts, sizes = _runs(g[0])
             for s, size in zip(starts, sizes, strict=True):
                 part, node, n = g[1:, s:s + size]
@@ -298,10 +302,20 @@ def _across(percent: int):
     return run
 
 
-def verify(rows: DataFrame, pairs: DataFrame, classes: DataFrame, words: int, percent: int, seed: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose whole sets are similar, written to the shared folder."""
-    nodes = stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-                       .join(classes.select("node", "first"), "node"), "ngram-nodes")
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """(entry, part, node, n) of entries with several parts, large ones as one group for each two blocks of members."""
+    mixed = (members.groupBy("entry").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count(F.lit(1)).alias("m"))
+                    .where("p <> q").selectExpr("entry", f"(m - 1) DIV {BLOCK} + 1 AS blocks"))
+    each = members.join(mixed, "entry").selectExpr(
+        "entry", "part", "node", "n", "blocks", "pmod(xxhash64(node), blocks) AS own", "explode(sequence(0L, blocks - 1)) AS other")
+    # Two groups of one name by chance are compared with each other too.
+    return each.selectExpr("IF(blocks = 1, entry, xxhash64(entry, least(own, other), greatest(own, other))) AS entry", "part", "node", "n")
+
+
+def whole_sets(rows: DataFrame, pairs: DataFrame, classes: DataFrame, words: int, seed: int) -> DataFrame:
+    """(node, tokens) of the nodes in ``pairs``: their texts are read again."""
+    both = pairs.select(F.col("a").alias("node")).distinct().union(pairs.select("b").distinct()).distinct()
+    nodes = stage(both.join(classes.select("node", "first"), "node"), "ngram-nodes")
     # Ids of the documents to read again, by a bitmap of fixed size; the join by node is exact.
     bucket = F.expr(f"pmod(xxhash64(first), {2 ** BITS})")
     shared = rows.sparkSession.sparkContext.broadcast(bitmap(nodes, bucket))
@@ -319,8 +333,11 @@ def verify(rows: DataFrame, pairs: DataFrame, classes: DataFrame, words: int, pe
 
     found = (rows.select(F.expr(f"pmod(xxhash64(id), {2 ** BITS})").alias("bucket"), "text")
                  .mapInArrow(run, "node bigint, tokens binary").join(nodes.select("node"), "node", "left_semi"))
-    found = stage(found.groupBy("node").agg(F.min("tokens").alias("tokens")), "ngram-sets")
+    return stage(found.groupBy("node").agg(F.min("tokens").alias("tokens")), "ngram-sets")
 
+
+def verify(found: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose whole sets are similar, written to the shared folder."""
     def similar(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
@@ -337,6 +354,22 @@ def verify(rows: DataFrame, pairs: DataFrame, classes: DataFrame, words: int, pe
     return stage(joined.select("a", "b", "x", "y").mapInArrow(similar, "a bigint, b bigint"), "ngram-links")
 
 
+def connect(found: DataFrame, pairs: DataFrame, percent: int, links: DataFrame | None = None) -> DataFrame:
+    """Similar pairs that, with ``links``, join the nodes into the components that all similar pairs would.
+
+    Whole sets are far larger than names, so each node first meets its smallest candidate
+    alone; of the other pairs only those between different components are verified.
+    """
+    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    links = verify(found, first, percent) if links is None else links.unionByName(verify(found, first, percent))
+    part = components(links)
+    of = lambda c: part.select(F.col("node").alias(c), F.col("component").alias(f"{c}_part"))
+    rest = (pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+                 .where("coalesce(a_part, a) <> coalesce(b_part, b)").select("a", "b"))
+    rest = stage(rest.join(first, ["a", "b"], "left_anti"), "ngram-rest")
+    return links if rest.isEmpty() else links.unionByName(verify(found, rest, percent))
+
+
 def link(df: DataFrame, percent: int = 85, words: int = 4, key: str = "doc_id", text: str = "text",
          frequent: int = FREQUENT) -> DataFrame:
     """(id, n_shingles, component_id) of every row.
@@ -397,18 +430,18 @@ def _linked(df: DataFrame, percent: int, words: int, key: str, text: str, freque
     pairs = (met.where("b IS NOT NULL").groupBy("a", "b")
                 .agg(F.sum("single").alias("single"), *[F.max(c).alias(c) for c in ("na", "nb", "sa", "sb")])
                 .where(f"single >= least(sa - (na - {least}), sb - (nb - {least}))").select("a", "b"))
-    links = verify(rows, stage(pairs, "ngram-pairs"), classes, words, percent, seed)
+    pairs = stage(pairs, "ngram-pairs")
+    links = connect(whole_sets(rows, pairs, classes, words, seed), pairs, percent)
     # What large entries hold of different components.
     large = met.where("b IS NULL").selectExpr("a AS node", "single AS entry", "na AS n")
     part = components(links)
     parted = (large.join(part, "node", "left").withColumn("part", F.coalesce("component", "node"))
                    .select("entry", "part", "node", "n"))
-    mixed = parted.groupBy("entry").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("entry")
-    more = stage(parted.join(mixed, "entry", "left_semi").repartition("entry")
-                       .sortWithinPartitions("entry", "part").mapInArrow(_across(percent), "a bigint, b bigint")
-                       .distinct(), "ngram-pairs")
+    more = stage(_in_blocks(parted).repartition("entry")
+                 .sortWithinPartitions("entry", "part").mapInArrow(_across(percent), "a bigint, b bigint")
+                 .distinct(), "ngram-pairs")
     if not more.isEmpty():
-        links = links.unionByName(verify(rows, more, classes, words, percent, seed))
+        links = connect(whole_sets(rows, more, classes, words, seed), more, percent, links)
         part = components(links)
     part = part.withColumnRenamed("component", "part")
     joined = classes.join(part, "node", "left").withColumn("part", F.coalesce("part", "node"))

@@ -463,3 +463,18 @@ def test_components_of_chains_and_hubs(spark):
     got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()}
     real = [p for p in pairs if None not in p and p[0] != p[1]]
     assert got == joined(real, {n for p in real for n in p})
+
+
+def test_ngram_links_with_a_passage_in_a_third_of_all_documents(spark, monkeypatch):
+    monkeypatch.setattr(ngramjoin, "SMALL", 2)
+    monkeypatch.setattr(ngramjoin, "BLOCK", 5)
+    rnd = random.Random(12)
+    passage = text(rnd, 120)
+    docs = [passage + " " + text(rnd, rnd.choice([8, 14, 30])) if i % 3 == 0 else text(rnd, 60) for i in range(90)]
+    sets = [{tuple(w[i:i + 4]) for i in range(len(w) - 3)} for w in (d.split() for d in docs)]
+    links = [(a, b) for a, b in combinations(range(90), 2) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    of = joined(links, range(90))
+    assert links and len({of[i] for i in range(0, 90, 3)}) > 5
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    got = {r["id"]: r["component_id"] for r in ngramjoin.link(df, frequent=2).collect()}
+    assert got == {i: of[i] for i in range(90)}
