@@ -16,7 +16,10 @@ large one. Those that share too few single tokens to reach the threshold are
 screened out, the others verified on their whole sets: first one candidate of each
 node, then those that lie in different components still, as only these can
 change a component. A second round compares what large entries hold of different
-components, in blocks, so no link between components is lost.
+components, in blocks, so no link between components is lost. There each set has a
+parity sketch: one bit for each of 256 classes of tokens, set if their number is odd.
+Bits in which two sketches differ are tokens of one set alone, so pairs that differ in
+too many never leave the task.
 
 Sets are of 63-bit hashes. Which tokens are frequent is a bitmap of fixed size; it
 only steers the index, so a wrong bit costs time, never a link.
@@ -45,6 +48,9 @@ BLOCK = 4096
 # log2 of the bits of each broadcast bitmap: 4 MB, whatever the data.
 BITS = 25
 
+# The four BIGINTs of a parity sketch.
+SKETCH = ["s0", "s1", "s2", "s3"]
+
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -98,6 +104,11 @@ def _name(tokens: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
+def _sketch(tokens: np.ndarray) -> np.ndarray:
+    odd = np.bincount((tokens & np.uint64(255)).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _texts(batches, rows: int = 256):
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
@@ -106,20 +117,22 @@ def _texts(batches, rows: int = 256):
 
 
 def sets(rows: DataFrame, words: int, percent: int, seed: int) -> DataFrame:
-    """(id, body, n, node, check, low): the size, the 128-bit name and the lowest tokens of each set."""
+    """(id, body, n, node, check, s0 to s3, low): the size, 128-bit name, parity sketch and lowest tokens of each set."""
     def run(batches):
         shingle = Shingler(words, seed)
         for part, texts in _texts(batches):
             all_ = [shingle(t or b"") for t in texts]
             names = [_name(s) for s in all_]
             low = [s[:(may_miss(len(s), percent) + 1) * 3 // 2 + 2].view(np.int64) for s in all_]
+            sketches = np.array([_sketch(s) for s in all_], np.int64).reshape(-1, 4)
             yield pa.RecordBatch.from_pydict(
                 {"id": part.column("id"), "body": part.column("body"), "n": pa.array([len(s) for s in all_], pa.int64()),
                  "node": pa.array([x[0] for x in names], pa.int64()), "check": pa.array([x[1] for x in names], pa.int64()),
+                 **{c: pa.array(sketches[:, k]) for k, c in enumerate(SKETCH)},
                  "low": pa.array(low, pa.list_(pa.int64()))})
 
     return rows.select("id", "body", "text").mapInArrow(
-        run, "id bigint, body bigint, n bigint, node bigint, check bigint, low array<bigint>")
+        run, f"id bigint, body bigint, n bigint, node bigint, check bigint, {', '.join(f'{c} bigint' for c in SKETCH)}, low array<bigint>")
 
 
 def bitmap(df: DataFrame, bucket: Column) -> np.ndarray:
@@ -282,13 +295,14 @@ def _candidates(percent: int):
 
 
 def _across(percent: int):
-    """Sorted (entry, part, node, n) of large entries to pairs of nodes of different parts, a block at a time."""
+    """Sorted (entry, part, node, n, sketch) of large entries to pairs of nodes of different parts, a block at a time."""
     def run(batches):
         # A group has two blocks of members, so it is never cut.
-        for g, _ in _groups(batches, ["entry", "part", "node", "n"], 1 << 62):
+        for g, _ in _groups(batches, ["entry", "part", "node", "n", *SKETCH], 1 << 62):
             starts, sizes = _runs(g[0])
             for s, size in zip(starts, sizes, strict=True):
-                part, node, n = g[1:, s:s + size]
+                part, node, n = g[1:4, s:s + size]
+                sketch = g[4:, s:s + size]
                 if part[0] == part[-1]:
                     continue
                 for at in range(0, size, 256):
@@ -296,20 +310,26 @@ def _across(percent: int):
                     fits = (part[rows, None] < part[None, :]) & (
                         np.minimum(n[rows, None], n[None, :]) * 100 >= np.maximum(n[rows, None], n[None, :]) * percent)
                     i, j = np.nonzero(fits)
+                    apart = np.zeros(len(i), np.int64)
+                    for word in sketch:  # counts bits without their sign
+                        apart += np.bitwise_count((word[rows][i] ^ word[j]).view(np.uint64))
+                    near = apart * (100 + percent) <= (n[rows][i] + n[j]) * (100 - percent)
+                    i, j = i[near], j[near]
                     if len(i):
                         yield pa.RecordBatch.from_pydict({"a": pa.array(node[rows][i]), "b": pa.array(node[j])})
 
     return run
 
 
-def _in_blocks(members: DataFrame) -> DataFrame:
-    """(entry, part, node, n) of entries with several parts, large ones as one group for each two blocks of members."""
+def _in_blocks(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """(entry, part, node, n, sketch) of entries with several parts, large ones as one group for each two blocks of members."""
     mixed = (members.groupBy("entry").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.count(F.lit(1)).alias("m"))
                     .where("p <> q").selectExpr("entry", f"(m - 1) DIV {BLOCK} + 1 AS blocks"))
-    each = members.join(mixed, "entry").selectExpr(
-        "entry", "part", "node", "n", "blocks", "pmod(xxhash64(node), blocks) AS own", "explode(sequence(0L, blocks - 1)) AS other")
+    each = members.join(mixed, "entry").join(classes.select("node", *SKETCH), "node").selectExpr(
+        "entry", "part", "node", "n", *SKETCH, "blocks", "pmod(xxhash64(node), blocks) AS own", "explode(sequence(0L, blocks - 1)) AS other")
     # Two groups of one name by chance are compared with each other too.
-    return each.selectExpr("IF(blocks = 1, entry, xxhash64(entry, least(own, other), greatest(own, other))) AS entry", "part", "node", "n")
+    return each.selectExpr("IF(blocks = 1, entry, xxhash64(entry, least(own, other), greatest(own, other))) AS entry",
+                           "part", "node", "n", *SKETCH)
 
 
 def whole_sets(rows: DataFrame, pairs: DataFrame, classes: DataFrame, words: int, seed: int) -> DataFrame:
@@ -418,7 +438,8 @@ def _linked(df: DataFrame, percent: int, words: int, key: str, text: str, freque
     while True:
         every = stage(sets(rows, words, percent, seed), "ngram-sets")
         classes = stage(every.where("n > 0").groupBy("node").agg(
-            F.min("id").alias("first"), F.min("check").alias("check"), F.max("check").alias("other")), "ngram-classes")
+            F.min("id").alias("first"), F.min("check").alias("check"), F.max("check").alias("other"),
+            *[F.min(c).alias(c) for c in SKETCH]), "ngram-classes")
         if classes.where("check <> other").isEmpty():
             break
         seed += 1  # two sets share 64 bits of their names: name all anew
@@ -437,7 +458,7 @@ def _linked(df: DataFrame, percent: int, words: int, key: str, text: str, freque
     part = components(links)
     parted = (large.join(part, "node", "left").withColumn("part", F.coalesce("component", "node"))
                    .select("entry", "part", "node", "n"))
-    more = stage(_in_blocks(parted).repartition("entry")
+    more = stage(_in_blocks(parted, classes).repartition("entry")
                  .sortWithinPartitions("entry", "part").mapInArrow(_across(percent), "a bigint, b bigint")
                  .distinct(), "ngram-pairs")
     if not more.isEmpty():
