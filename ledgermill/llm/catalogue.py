@@ -197,33 +197,32 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                             F.round("probability", 6).alias("probability"), mixing.below("id", "probability").alias("kept")))
 
 
-def _raking(sweeps: int) -> str:
-    steps, last = [], "c0"
-    for k in range(sweeps):
-        for m in ("source", "lang", "topic"):
-            steps.append(f"c{len(steps) + 1} AS MATERIALIZED (SELECT source, lang, topic, tokens, "
-                         f"w * t_{m} / sum(w) OVER (PARTITION BY {m}) AS w, t_source, t_lang, t_topic FROM {last})")
-            last = f"c{len(steps)}"
-    return ",\n".join(steps)
+def _sweep(cells: str) -> str:
+    """One sweep over the margins: the weights of each value are made to sum to its target."""
+    for m in ("source", "lang", "topic"):
+        cells = f"""(SELECT k, source, lang, topic, tokens, before, w * t_{m} / sum(w) OVER (PARTITION BY {m}) AS w,
+  t_source, t_lang, t_topic FROM {cells})"""
+    return cells
 
 
-_SWEEPS = 15
 _TOPIC = "CASE " + " ".join(
     "WHEN " + " OR ".join(f"contains(coalesce(text, ''), '{m}')" for m in marks) + f" THEN '{name}'"
     for name, marks in mixing.TOPICS) + " ELSE 'prose' END"
 SQL["op2_mixing"] = f"""
-WITH d AS MATERIALIZED (
+WITH RECURSIVE d AS MATERIALIZED (
   SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang, {_TOPIC} AS topic,
          greatest(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')), 1) AS tokens
   FROM documents),
 g AS (SELECT source, lang, topic, CAST(sum(tokens) AS DOUBLE) AS tokens FROM d GROUP BY ALL),
 """ + ",\n".join(f"""s_{m} AS (SELECT {m}, pow(sum(tokens), {mixing.POWER}) AS p FROM g GROUP BY {m}),
 t_{m} AS (SELECT {m}, p / sum(p) OVER () AS t_{m} FROM s_{m})""" for m in ("source", "lang", "topic")) + f""",
-c0 AS MATERIALIZED (
-  SELECT g.*, tokens / sum(tokens) OVER () AS w, t_source, t_lang, t_topic
-  FROM g JOIN t_source USING (source) JOIN t_lang USING (lang) JOIN t_topic USING (topic)),
-{_raking(_SWEEPS)},
-p AS (SELECT source, lang, topic, (w / tokens) / max(w / tokens) OVER () AS probability FROM c{3 * _SWEEPS})
+c AS (
+  SELECT 0 AS k, source, lang, topic, tokens, tokens / sum(tokens) OVER () AS w, t_source, t_lang, t_topic, 1e0 AS moved
+  FROM g JOIN t_source USING (source) JOIN t_lang USING (lang) JOIN t_topic USING (topic)
+  UNION ALL
+  SELECT k + 1, source, lang, topic, tokens, w, t_source, t_lang, t_topic, max(abs(w / before - 1)) OVER ()
+  FROM {_sweep(f"(SELECT *, w AS before FROM c WHERE moved > 1e-10 AND k < {mixing.SWEEPS})")}),
+p AS (SELECT source, lang, topic, (w / tokens) / max(w / tokens) OVER () AS probability FROM c WHERE k = (SELECT max(k) FROM c))
 SELECT doc_id, source, lang, topic, tokens, round(probability, 6) AS probability,
        ({_draw("doc_id", "'mix'")} + 0.5) / 4503599627370496.0 < probability AS kept
 FROM d JOIN p USING (source, lang, topic)

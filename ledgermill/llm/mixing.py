@@ -26,7 +26,7 @@ TOLERANCE, SWEEPS = 1e-9, 100
 # Factors that move more than this, by the same ratio sweep after sweep, show targets that contradict each other.
 DRIFT = 1e-3
 # Shares are raised to this power: 1 leaves them as they are, 0 makes them equal.
-POWER = 0.85
+POWER = 0.7
 # Topics by the first list of which a text holds a string; else "prose".
 TOPICS = (("legal", ("icense", "opyright")), ("contact", ("@", "http")), ("table", (" | ",)))
 

@@ -103,6 +103,20 @@ def test_sample_handles_nulls_and_clashing_names(spark):
     assert mixing.sample(df.limit(0)).count() == 0
 
 
+def test_sample_keeps_or_drops_repeated_rows_together(spark):
+    rnd = random.Random(12)
+    rows = [(i, text(rnd, 3 + i % 50), "abc"[i % 5 // 2], "en" if i % 4 else "de") for i in range(90) for _ in range(1 + i % 3)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
+    got = mixing.sample(df).collect()
+    for i in range(90):
+        assert sum(r["doc_id"] == i for r in got) in (0, 1 + i % 3)
+    assert 0 < len({r["doc_id"] for r in got}) < 90
+    # A row that comes twice weighs twice: probabilities are those of the table without ids.
+    chance = lambda d: {tuple(r)[:3]: r["probability"] for r in mixing.probabilities(mixing.measure(d)).collect()}
+    twice, once = chance(df.unionByName(df)), chance(df)
+    assert twice.keys() == once.keys() and all(abs(twice[k] - once[k]) < 1e-9 for k in once)
+
+
 # Chat
 
 def test_every_text_survives_the_round_trip():
