@@ -15,7 +15,7 @@ from ..operators import anchor, asof, compare, incremental, lines, lookup, measu
 from ..plans import base as base_plan
 from ..plans import gl as gl_plan
 from ..plans.pipeline import Mart
-from ..plans.trial_balance import trial_balance
+from ..plans.trial_balance import TYPED, trial_balance
 from ..session import fresh_folder, stage
 from ..sources import dims, ingest
 from ..sources.placeholder import placeholder
@@ -88,9 +88,7 @@ def ingest_period_key(spark, d):
 
 @query
 def ingest_row_id_check(spark, d):
-    parsed = _parsed(spark, d)
-    ids = ingest.accepted(parsed).groupBy("row_id").agg(count())
-    return ids.agg(
+    return ingest.row_ids(ingest.accepted(_parsed(spark, d))).agg(
         F.expr("sum(n_rows) AS n_rows"), F.expr("count(1) AS n_row_ids"),
         F.expr("count_if(n_rows > 1) AS n_repeated_ids"),
     )
@@ -298,10 +296,10 @@ def schema_padding(spark, d):
 @query
 def scope_filters(spark, d):
     tests = {
-        "n_balance": "bs_pl_flag = 'BS'",
-        "n_typed": f"balance_sheet_type <> '{chart.SYNTHETIC_TYPE}'",
-        "n_risk": "domain_id IN ('19', '20', '21')",
-        "n_not_risk": "gl_account_id NOT IN ('913716', '813714', '813715')",
+        "n_balance": base_plan.BALANCE_HALF,
+        "n_typed": TYPED,
+        "n_risk": chart.RISK_DOMAINS,
+        "n_not_risk": f"NOT {chart.RISK_ACCOUNTS}",
         "n_not_total": "gl_account_id NOT LIKE '1%'",
     }
     return classified(spark, d).groupBy("legal_entity").agg(

@@ -12,6 +12,8 @@ NO_CONTRACT = "0000000"
 NO_CATEGORY = "00000"
 SYNTHETIC_ACCOUNT = "999999"
 SYNTHETIC_TYPE = "BS-PL INSERT"
+RISK_DOMAINS = "domain_id IN ('19', '20', '21')"
+RISK_ACCOUNTS = "gl_account_id IN ('913716', '813714', '813715')"
 SYNTHETIC_COMMON_KEY = "0"
 BUDGET_CLASS = "MGTBGT"
 AMOUNT_CLASSES = ["MGTBGT", "MGTACT", "FINACT"]
@@ -103,8 +105,8 @@ STATEMENT_LINES = {
               f"{L1} IN ('60000000', '70000000', '77000000', '78000000', '79000000') "
               f"AND {_COST_RULE}"),
     "67016": ("Risk-weighted assets", [],
-              "gl_account_id NOT LIKE '-%' AND (domain_id IN ('19', '20', '21') OR (domain_id "
-              "IN ('50', '51', '52') AND gl_account_id IN ('913716', '813714', '813715')))"),
+              f"gl_account_id NOT LIKE '-%' AND ({RISK_DOMAINS} OR (domain_id "
+              f"IN ('50', '51', '52') AND {RISK_ACCOUNTS}))"),
     "67017": ("Net profit after amortisation", ["account"],
               f"{L1} IN ('60000000', '70000000', '77000000', '78000000', '79000000')"),
 }

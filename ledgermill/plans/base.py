@@ -50,8 +50,11 @@ def stage_observed(ledger: DataFrame, accounts: DataFrame, label: str = "classif
     return stage(rows, label), totals()
 
 
+BALANCE_HALF = "bs_pl_flag = 'BS'"
+
+
 def balance_rows(classified: DataFrame) -> DataFrame:
-    return classified.where("bs_pl_flag = 'BS'")
+    return classified.where(BALANCE_HALF)
 
 
 def pl_rows(classified: DataFrame) -> DataFrame:

@@ -76,9 +76,14 @@ def rejected(parsed: DataFrame) -> DataFrame:
     return parsed.where("reject_reason IS NOT NULL").select("value", "reject_reason")
 
 
+def row_ids(rows: DataFrame) -> DataFrame:
+    """How many rows have each row id."""
+    return rows.groupBy("row_id").agg(F.expr("count(1) AS n_rows"))
+
+
 def duplicate_row_ids(rows: DataFrame) -> DataFrame:
-    """Row ids that occur more than once; the loads need them unique."""
-    return rows.groupBy("row_id").agg(F.expr("count(1) AS n_rows")).where("n_rows > 1")
+    """Row ids that occur more than once, for a look at an extract; loads number rows themselves."""
+    return row_ids(rows).where("n_rows > 1")
 
 
 def to_ledger(rows: DataFrame) -> DataFrame:

@@ -114,6 +114,8 @@ def test_ingest(spark, tmp_path):
     got = rows_of(rows.select("row_id", "time_key", "outstanding_balance_mtd_acy"))
     assert got == [("1", 20180331, 1.5), ("2", 20181231, 0.0), ("4", 20180331, 1.5)]
     assert sorted(r[1] for r in rejects.collect()) == ["bad amount"] * 3 + ["too few fields"]
+    assert ingest.duplicate_row_ids(rows).count() == 0
+    assert rows_of(ingest.duplicate_row_ids(rows.unionByName(rows.where("row_id = '2'")))) == [("2", 2)]
     with pytest.raises(Exception, match="bad amount|too few"):
         ingest.read_ledger(spark, str(path), strict=True)[0].collect()
 

@@ -10,7 +10,7 @@ from ledgermill.operators import tags
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
-CHECKED = ["ingest_ledger_keys", "dim_collapse", "select_balance", "rwa_classify", "pl_rollup", "anchor_rank",
+CHECKED = ["ingest_ledger_keys", "ingest_row_id_check", "scope_filters", "dim_collapse", "select_balance", "rwa_classify", "pl_rollup", "anchor_rank",
            "prior_period_compare", "latest_valid_contract", "trimmed_key_join", "sentinel_routing",
            "store_overwrite_period", "store_replace_class", "calendar_series", "base_fact", "gl_fact",
            "latest_valid_customer", "contract_join_sentinel", "contract_join_latest", "trial_balance",
