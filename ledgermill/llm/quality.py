@@ -188,7 +188,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     """Learn from at most ``max_rows`` labelled rows that are not held out.
 
     Labels other than 0 and 1 and null ids are left aside; of several labels of
-    an id the more frequent counts (1 on a tie).
+    an id the more frequent counts (1 on a tie). Each row of an id that ``docs`` has
+    several times is learnt from; other columns of ``docs`` are not read.
     """
     ship(docs.sparkSession)
     known = (labels.where(f"`{label}` IN (0, 1) AND `{key}` IS NOT NULL").where(~held_out(key))

@@ -1,7 +1,10 @@
 """Each operator on hand-made rows: nulls, empty and long texts, ties, repeated rows, empty tables, clashing names."""
 
 import hashlib
+import math
 import random
+import zlib
+from bisect import bisect_right
 from itertools import combinations
 
 import numpy as np
@@ -140,6 +143,35 @@ def test_conversations_read_back(spark):
 
 # Quality
 
+def test_quality_learns_from_no_held_out_label(spark):
+    rnd = random.Random(14)
+    junk = lambda: "".join(rnd.choice("#$%=~0123456789 ") for _ in range(120))
+    rows = [(i, text(rnd, 20 + i % 40) + "." if i % 2 else junk(), "x") for i in range(240)]
+    rows += [(7, text(rnd, 30), "x"), (7, None, "x"), (1000, text(rnd, 60_000), "x"), (None, junk(), "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, score string")
+    mark = [(i, i % 2) for i in range(240)]
+    held = {i for i in range(240) if zlib.crc32(str(i).encode()) % 3 == 1}
+    table = lambda marks: spark.createDataFrame(marks, "doc_id bigint, quality int")
+    model = quality.train(docs, table(mark))
+    got = docs.select("doc_id", "text", quality.score(model).alias("p")).collect()
+    assert len(got) == len(rows) and all(0 <= r["p"] <= 1 for r in got)
+    assert all((r["p"] >= .5) == bool(r["doc_id"] % 2) for r in got[:240]) and 60 < len(held) < 100
+    # Only labels that are held out differ: not one score does.
+    other = quality.train(docs, table([(i, 1 - q if i in held else q) for i, q in mark]))
+    assert [r[0] for r in docs.select(quality.score(other)).collect()] == [r["p"] for r in got]
+    # A score is one entry of each table, added up by hand.
+    for r in got:
+        x = quality.features((r["text"] or "").encode())
+        total = model.intercept + sum(t[bisect_right(list(e), v)] for t, e, v in zip(model.tables, model.edges, x, strict=True))
+        rough = [bisect_right(list(e), v) for e, v in zip(model.coarse, x, strict=True)]
+        total += sum(g[rough[i], rough[j]] for g, (i, j) in zip(model.grids, model.pairs, strict=True))
+        assert abs(1 / (1 + math.exp(-total)) - r["p"]) < 1e-9
+    # Rows beyond max_rows are not learnt from, and the model is still one of both labels.
+    few = quality.train(docs, table(mark), max_rows=40)
+    p = [r[0] for r in docs.where("doc_id < 240").select(quality.score(few)).collect()]
+    assert p != [r["p"] for r in got if r["doc_id"] is not None and r["doc_id"] < 240] and max(p) > .5 > min(p)
+
+
 def test_quality_without_labels_and_with_bad_ones(spark):
     docs = spark.createDataFrame([(1, None, 0.5), (2, "", 0.5), (None, "a b c", 0.5), (3, "good words here", 0.5)], "doc_id bigint, text string, score double")
     none = spark.createDataFrame([(1, None), (2, 7), (None, 1)], "doc_id bigint, quality int")
