@@ -1,7 +1,10 @@
 """Plans that must not do a step more often than the input asks for."""
 
+from ledgermill.catalogue.queries import QUERIES
 from ledgermill.sources import ingest
 
+SF = "/root/testdata/sf0.001"
+
 
 def plan(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
@@ -11,3 +14,9 @@ def test_a_line_is_split_once(spark, tmp_path):
     (tmp_path / "one.dat").write_text("~".join(map(str, range(51))))
     rows = ingest.accepted(ingest.parse(ingest.read_lines(spark, str(tmp_path), header="")))
     assert plan(rows.groupBy("time_key").count()).count("split(value") == 1
+
+
+def test_queries_compile_in_any_session(spark):
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    QUERIES["dim_scan"](spark, SF)
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
