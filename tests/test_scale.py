@@ -1,6 +1,7 @@
 """Plans that must not do a step more often than the input asks for."""
 
 from ledgermill.catalogue.queries import QUERIES
+from ledgermill.operators import lookup
 from ledgermill.sources import ingest
 
 SF = "/root/testdata/sf0.001"
@@ -20,3 +21,19 @@ def test_queries_compile_in_any_session(spark):
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
     QUERIES["dim_scan"](spark, SF)
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_fact_is_not_moved_for_a_few_accounts(spark, tmp_path):
+    """A lookup of a dimension that is large only before it is collapsed."""
+    spark.range(300_000).selectExpr("concat('A', id % 20) AS account", "uuid() AS text").write.parquet(str(tmp_path / "dim"))
+    dim = spark.read.parquet(str(tmp_path / "dim"))
+    fact = spark.range(10_000_000).selectExpr("id", "concat('A', id % 25) AS account_id")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "256k")
+    try:
+        found = lookup.lookup(fact, dim, {"account_id": "account"}, {"known": "account"})
+        physical = found._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in physical and "BroadcastHashJoin" in physical
+        assert found.where("known IS NULL").count() == 2_000_000 and found.count() == 10_000_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
