@@ -37,3 +37,14 @@ def test_fact_is_not_moved_for_a_few_accounts(spark, tmp_path):
         assert found.where("known IS NULL").count() == 2_000_000 and found.count() == 10_000_000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_account_sums_that_follow_from_others_are_not_carried(spark):
+    before = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        found = plan(QUERIES["gl_aggregate"](spark, SF)).lower()
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", before)
+    assert "floor(gross_interest_income#" in found
+    assert not [n for n in ("net_interest_income", "net_pl_ytd_lcy", "mtd_aed_actual", "rwa_total") if f"floor({n}#" in found]
