@@ -210,6 +210,31 @@ def test_versions_of_crowded_keys(spark, monkeypatch, most):
     assert sorted(map(tuple, got.collect())) == want
 
 
+@pytest.mark.parametrize("most", [1000, 3, 0])
+def test_latest_versions_of_all_keys(spark, monkeypatch, most):
+    """Latest versions per period against brute force; keys of few and of many versions, and null keys."""
+    monkeypatch.setattr(asof, "MOST_VERSIONS", most)
+    rnd, periods = random.Random(9), [20000131, 20000229, 20000331]
+    versions = [(rnd.choice(["c0", "c0 ", f"c{rnd.randrange(9)}", None]), rnd.choice(["CB", None]), a, a + rnd.randrange(200))
+                for _ in range(150) for a in [20000101 + rnd.randrange(60) * 5]] + [("c1", "CB", None, 20000331), ("c1", "CB", 20000101, None)]
+    df = spark.createDataFrame(versions, "customer_number string, banking_type string, start_time_key int, end_time_key int")
+    got = asof.latest_customers(df, periods).selectExpr("cust_key", "cust_type_key", "time_key", "cust_start_time_key", "cust_end_time_key")
+    want = {}
+    for n, b, s, e in versions:
+        for p in periods:
+            if s and e and s <= p <= e:
+                key = (n and n.strip(), b, p)
+                want[key] = max(want.get(key, (0, 0)), (s, e))
+    assert {tuple(r)[:3]: tuple(r)[3:] for r in got.collect()} == want and got.count() == len(want)
+
+
+def test_latest_versions_move_once(spark):
+    """Versions are repeated for their periods behind the shuffle."""
+    df = spark.createDataFrame([("c", "CB", 20000101, 20191231)], "customer_number string, banking_type string, start_time_key int, end_time_key int")
+    plan = asof.latest_customers(df, [20000101 + i for i in range(28)])._jdf.queryExecution().optimizedPlan().toString()
+    assert -1 < plan.find("Generate") < plan.find("Aggregate") and plan.count("Generate") == 1
+
+
 def test_versions_do_not_multiply_with_periods(spark):
     """What is joined has a row for each key, however many periods there are."""
     df = spark.createDataFrame([("c", "CB", 20000101, 20191231)], "customer_number string, banking_type string, start_time_key int, end_time_key int")
