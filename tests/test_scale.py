@@ -1,5 +1,8 @@
 """Plans that must not do a step more often than the input asks for."""
 
+import pytest
+
+from ledgermill import testmap
 from ledgermill.catalogue.queries import QUERIES
 from ledgermill.operators import lookup
 from ledgermill.sources import ingest
@@ -48,3 +51,11 @@ def test_account_sums_that_follow_from_others_are_not_carried(spark):
         spark.conf.set("spark.sql.debug.maxToStringFields", before)
     assert "floor(gross_interest_income#" in found
     assert not [n for n in ("net_interest_income", "net_pl_ytd_lcy", "mtd_aed_actual", "rwa_total") if f"floor({n}#" in found]
+
+
+@pytest.mark.parametrize("name", ["store_retention", "store_publish_version", "contract_join_latest", "sentinel_routing"])
+def test_ledger_is_built_once(spark, monkeypatch, name):
+    made, build = [], testmap.ledger
+    monkeypatch.setattr(testmap, "ledger", lambda *a, **k: made.append(1) or build(*a, **k))
+    QUERIES[name](spark, SF)
+    assert len(made) == 1
