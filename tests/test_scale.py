@@ -59,3 +59,10 @@ def test_ledger_is_built_once(spark, monkeypatch, name):
     monkeypatch.setattr(testmap, "ledger", lambda *a, **k: made.append(1) or build(*a, **k))
     QUERIES[name](spark, SF)
     assert len(made) == 1
+
+
+@pytest.mark.parametrize("name", ["anchor_rank", "anchor_merge"])
+def test_only_columns_that_are_read_are_written(spark, name):
+    folders = {f.rsplit("/", 1)[0] for f in QUERIES[name](spark, SF).inputFiles() if "/classified-" in f}
+    written = {c for f in folders for c in spark.read.parquet(f).columns}
+    assert {"line_no", "gl_account_id"} <= written and "avg_book_bal_ltd_acy" not in written
