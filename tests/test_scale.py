@@ -4,7 +4,7 @@ import pytest
 
 from ledgermill import testmap
 from ledgermill.catalogue.queries import QUERIES
-from ledgermill.operators import lookup
+from ledgermill.operators import lookup, reconcile
 from ledgermill.sources import ingest
 
 SF = "/root/testdata/sf0.001"
@@ -61,6 +61,13 @@ def test_ledger_is_built_once(spark, monkeypatch, name):
     assert len(made) == 1
 
 
+def test_control_totals_compute_a_frame_once(spark):
+    rows = spark.range(7).selectExpr("CAST(id AS DOUBLE) AS a", "id / 4 AS b")
+    found = reconcile.control_totals({"x": (rows, "a"), "y": (spark.range(2).selectExpr("1D AS a"), "a"), "z": (rows, "b")})
+    assert plan(found).count("Range (") == 2
+    assert sorted(map(tuple, found.collect())) == [("x", 7, 21.0), ("y", 2, 2.0), ("z", 7, 5.25)]
+
+
 @pytest.mark.parametrize("name", ["anchor_rank", "anchor_merge"])
 def test_only_columns_that_are_read_are_written(spark, name):
     folders = {f.rsplit("/", 1)[0] for f in QUERIES[name](spark, SF).inputFiles() if "/classified-" in f}
