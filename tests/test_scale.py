@@ -61,6 +61,17 @@ def test_ledger_is_built_once(spark, monkeypatch, name):
     assert len(made) == 1
 
 
+def test_customer_sums_that_follow_from_others_are_not_carried(spark):
+    before = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        found = plan(QUERIES["customer_aggregate"](spark, SF)).lower()
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", before)
+    assert "floor(gross_interest_income#" in found
+    assert not [n for n in ("net_interest_income", "net_pl_ytd_lcy", "total_ftp_amt", "rwa_total") if f"floor({n}#" in found]
+
+
 def test_control_totals_compute_a_frame_once(spark):
     rows = spark.range(7).selectExpr("CAST(id AS DOUBLE) AS a", "id / 4 AS b")
     found = reconcile.control_totals({"x": (rows, "a"), "y": (spark.range(2).selectExpr("1D AS a"), "a"), "z": (rows, "b")})
