@@ -344,6 +344,23 @@ def test_lines_copied_often_are_found_as_well_as_others(spark, size):
     assert all(of[i] == of[name[i]] for i in range(len(lines)))
 
 
+@pytest.mark.parametrize("block", [2048, 8])
+def test_lines_whose_only_common_run_is_frequent_all_link(spark, monkeypatch, block):
+    """30 pairs that share one run, which is in all lines, and have other characters beside it."""
+    monkeypatch.setattr(linededup, "BLOCK", block, raising=False)
+    rnd, letters = random.Random(11), "abcdefghijklmnopqrstuvwxyz"
+    # A run that is sampled of lines of 60 characters: those with an even hash are.
+    run = next(r for r in ("".join(rnd.choices(letters, k=12)) for _ in range(100))
+               if not spark.range(1).select(F.xxhash64(F.lit(r))).first()[0] & 1)
+    lines = []
+    for _ in range(30):
+        rest = rnd.choices(letters, k=48)
+        other = [letters[letters.index(c) - 1] if i in (2, 12, 22, 23, 25, 35, 45) else c for i, c in enumerate(rest)]
+        lines += ["".join(x[:24]) + run + "".join(x[24:]) for x in (rest, other)]
+    assert all(_edits(a, b) == 7 for a, b in zip(lines[::2], lines[1::2], strict=True))
+    assert _first_of(spark, lines) == {i: i - i % 2 for i in range(60)}
+
+
 def test_whole_lines_keep_repeated_rows_null_ids_and_clashing_names(spark):
     docs = [(None, "the same line of text\nanother line stands here"), (1, "the same line of text"), (1, "the same line of text"),
             (2, "a line of its own in this text\nThe same line, of text"), (3, None), (4, "")]
