@@ -1,13 +1,14 @@
 """Edge cases on hand-made rows."""
 
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgermill import chart, schemas
 from ledgermill.functions import calendar, codes
-from ledgermill.functions.money import exact_sum, ratio_sum
+from ledgermill.functions.money import exact_sum, joined, ratio_sum
 from ledgermill.operators import asof, compare, incremental, lines, lookup, measures
 from ledgermill.plans import base as base_plan
 from ledgermill.session import literal_rows
@@ -77,6 +78,18 @@ def test_sums_keep_small_decimals(spark):
     assert large[0] == 8e18
 
 
+def test_sums_leave_longs_only_where_they_must(spark):
+    """On both sides of 9.2e18 units the sum is the double nearest to the exact one; decimals are the exception."""
+    for x, n in ((9223372036854.5, 1), (9223372036855.5, 1), (-9223372036854.75, 1), (-9223372036856.25, 3), (4e15, 1000), (0.000001, 7)):
+        total = exact_sum("x")
+        got = spark.range(n).selectExpr(f"{x!r}D AS x").selectExpr(f"{total} AS t").first()[0]
+        units = round(Decimal(x) * 10 ** 6) * n
+        assert got == float(units) / 1e6, x
+    assert joined("w", "u").startswith("coalesce(CAST(try_add(try_multiply(w, 1000000L), u) AS DOUBLE)")
+    unknown = spark.sql(f"SELECT {joined('CAST(NULL AS BIGINT)', '0L')}, {joined('1L', 'CAST(NULL AS BIGINT)')}").first()
+    assert tuple(unknown) == (None, None)
+
+
 def test_sums_take_rows_back(spark):
     """Any order of reloads ends where a rebuild does; a key leaves with its last row; nulls are known."""
     make = lambda rows: incremental.whole_sums(spark.createDataFrame(rows, "k string, x double, r double"), ["k"], ["x", "r"], ["r"])
