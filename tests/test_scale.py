@@ -2,9 +2,11 @@
 
 import pytest
 
-from ledgermill import testmap
+from ledgermill import schemas, testmap
+from ledgermill.catalogue import queries
 from ledgermill.catalogue.queries import QUERIES
-from ledgermill.operators import lookup, reconcile
+from ledgermill.operators import anchor, lookup, reconcile
+from ledgermill.plans import base as base_plan
 from ledgermill.sources import ingest
 
 SF = "/root/testdata/sf0.001"
@@ -84,3 +86,11 @@ def test_only_columns_that_are_read_are_written(spark, name):
     folders = {f.rsplit("/", 1)[0] for f in QUERIES[name](spark, SF).inputFiles() if "/classified-" in f}
     written = {c for f in folders for c in spark.read.parquet(f).columns}
     assert {"line_no", "gl_account_id"} <= written and "avg_book_bal_ltd_acy" not in written
+
+
+def test_deals_are_sorted_by_what_tells_them_apart(spark):
+    df = spark.createDataFrame([], ", ".join(f"{k} string" for k in [*schemas.DEAL_KEYS, *anchor.ANCHOR_ORDER, "line_no"]))
+    found = anchor.anchor_rows(df, schemas.DEAL_KEYS)
+    assert found.columns[:13] == schemas.DEAL_KEYS
+    first = found._jdf.queryExecution().executedPlan().toString().split("Sort [")[1]
+    assert first.startswith("contract_id#") and "customer_number#" in first.split(",")[1]
