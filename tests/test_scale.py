@@ -88,6 +88,29 @@ def test_only_columns_that_are_read_are_written(spark, name):
     assert {"line_no", "gl_account_id"} <= written and "avg_book_bal_ltd_acy" not in written
 
 
+def test_balances_that_nobody_reads_are_not_written(spark):
+    """Classified rows of the aggregates; what is read after all fails and is never taken for a value."""
+    def written(df):
+        folders = {f.rsplit("/", 1)[0] for f in df.inputFiles() if "/classified-" in f}
+        return {c for f in folders for c in spark.read.parquet(f).columns}
+
+    aggregate = written(QUERIES["gl_aggregate"](spark, SF))
+    assert "avg_book_bal_mtd_aed" in aggregate and not {"mtd_acy", "avg_book_bal_ltd_aed"} & aggregate
+    base = base_plan.base_fact(testmap.ledger(spark, SF), testmap.gl_accounts(spark, SF), testmap.domain(spark), ["mtd_aed"])
+    assert base.where("mtd_aed > 0").count() > 0
+    with pytest.raises(Exception, match="not written: avg_book_bal_ltd_aed"):
+        base.select("avg_book_bal_ltd_aed").collect()
+
+
+def test_reloaded_sums_keep_only_what_they_add_up(spark, monkeypatch):
+    made, keep = [], queries.stage
+    monkeypatch.setattr(queries, "stage", lambda df, label: made.append(keep(df, label)) or made[-1])
+    QUERIES["incremental_customer"](spark, SF)
+    assert len(made) == 3  # all rows, and the two reloads with new amounts
+    for rows in made:
+        assert set(rows.columns) == {*schemas.CUSTOMER_KEYS, "contract_id", *testmap.RELOADED}
+
+
 def test_deals_are_sorted_by_what_tells_them_apart(spark):
     df = spark.createDataFrame([], ", ".join(f"{k} string" for k in [*schemas.DEAL_KEYS, *anchor.ANCHOR_ORDER, "line_no"]))
     found = anchor.anchor_rows(df, schemas.DEAL_KEYS)
