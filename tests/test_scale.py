@@ -94,7 +94,8 @@ def test_balances_that_nobody_reads_are_not_written(spark):
         folders = {f.rsplit("/", 1)[0] for f in df.inputFiles() if "/classified-" in f}
         return {c for f in folders for c in spark.read.parquet(f).columns}
 
-    aggregate = written(QUERIES["gl_aggregate"](spark, SF))
+    tagged, aggregate = written(QUERIES["rule_tagging"](spark, SF)), written(QUERIES["gl_aggregate"](spark, SF))
+    assert {"line_no", "outstanding_balance_ytd_lcy"} <= tagged and "avg_book_bal_mtd_aed" not in tagged
     assert "avg_book_bal_mtd_aed" in aggregate and not {"mtd_acy", "avg_book_bal_ltd_aed"} & aggregate
     base = base_plan.base_fact(testmap.ledger(spark, SF), testmap.gl_accounts(spark, SF), testmap.domain(spark), ["mtd_aed"])
     assert base.where("mtd_aed > 0").count() > 0
