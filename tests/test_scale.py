@@ -1,12 +1,14 @@
 """Plans that must not do a step more often than the input asks for."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgermill import schemas, testmap
 from ledgermill.catalogue import queries
 from ledgermill.catalogue.queries import QUERIES
 from ledgermill.operators import anchor, lookup, reconcile
 from ledgermill.plans import base as base_plan
+from ledgermill.session import stage
 from ledgermill.sources import ingest
 
 SF = "/root/testdata/sf0.001"
@@ -118,3 +120,13 @@ def test_deals_are_sorted_by_what_tells_them_apart(spark):
     assert found.columns[:13] == schemas.DEAL_KEYS
     first = found._jdf.queryExecution().executedPlan().toString().split("Sort [")[1]
     assert first.startswith("contract_id#") and "customer_number#" in first.split(",")[1]
+
+
+def test_staging_leaves_no_shuffle_files_and_little_text(spark):
+    """Steps of a job do not hold the disk that earlier ones needed for their shuffles."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, held = files.getAllFiles().size(), spark.conf.get(setting)
+    rows = stage(spark.range(1000).repartition(5).groupBy(F.expr("id % 10 AS k")).count(), "sums")
+    assert files.getAllFiles().size() <= before and spark.conf.get(setting) == held
+    assert rows.count() == 10 and all(f.endswith(".zstd.parquet") for f in rows.inputFiles())
