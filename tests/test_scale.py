@@ -130,3 +130,11 @@ def test_staging_leaves_no_shuffle_files_and_little_text(spark):
     rows = stage(spark.range(1000).repartition(5).groupBy(F.expr("id % 10 AS k")).count(), "sums")
     assert files.getAllFiles().size() <= before and spark.conf.get(setting) == held
     assert rows.count() == 10 and all(f.endswith(".zstd.parquet") for f in rows.inputFiles())
+
+
+def test_written_extract_is_compressed_and_read_back(spark, tmp_path):
+    raw = testmap.raw_rows(spark, SF)
+    ingest.write_extract(raw, str(tmp_path / "extract"))
+    lines = ingest.read_lines(spark, str(tmp_path / "extract"))
+    assert all(f.endswith(".csv.gz") for f in spark.read.text(str(tmp_path / "extract")).inputFiles())
+    assert ingest.accepted(ingest.parse(lines)).count() == raw.count()
