@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ledgermill import schemas, testmap
 from ledgermill.catalogue import queries
 from ledgermill.catalogue.queries import QUERIES
-from ledgermill.operators import anchor, lookup, reconcile
+from ledgermill.operators import anchor, lines, lookup, reconcile
 from ledgermill.plans import base as base_plan
 from ledgermill.session import stage
 from ledgermill.sources import ingest
@@ -138,3 +138,11 @@ def test_written_extract_is_compressed_and_read_back(spark, tmp_path):
     lines = ingest.read_lines(spark, str(tmp_path / "extract"))
     assert all(f.endswith(".csv.gz") for f in spark.read.text(str(tmp_path / "extract")).inputFiles())
     assert ingest.accepted(ingest.parse(lines)).count() == raw.count()
+
+
+def test_rows_move_once_for_all_statement_lines(spark):
+    names = [*schemas.GL_KEYS, "time_key"]
+    gl = spark.createDataFrame([], ", ".join([*[f"{k} string" for k in names], "mtd_aed double"]))
+    out = lines.statement_lines(gl, testmap.gl_accounts(spark, SF), testmap.profit_centre(spark, SF), measures=["mtd_aed"])
+    found = out._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in found.split("Generate explode")[1] and "Exchange" not in found.split("Generate explode")[0]
