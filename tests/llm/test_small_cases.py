@@ -361,6 +361,22 @@ def test_lines_whose_only_common_run_is_frequent_all_link(spark, monkeypatch, bl
     assert _first_of(spark, lines) == {i: i - i % 2 for i in range(60)}
 
 
+@pytest.mark.parametrize("odd", [0, 1])
+def test_lines_with_one_common_run_link_whatever_its_hash(spark, odd):
+    rnd, letters = random.Random(12), "abcdefghijklmnopqrstuvwxyz"
+    run = next(r for r in ("".join(rnd.choices(letters, k=12)) for _ in range(100))
+               if spark.range(1).select(F.xxhash64(F.lit(r))).first()[0] & 1 == odd)
+    line = "".join(rnd.choices(letters, k=24)) + run + "".join(rnd.choices(letters, k=24))
+    other = "".join(letters[letters.index(c) - 1] if i in (2, 7, 12, 17, 23, 36, 43, 48, 53) else c for i, c in enumerate(line))
+    assert _edits(line, other) == 9 and _first_of(spark, [line, other, "another line that stands by itself here"]) == {0: 0, 1: 0, 2: 2}
+
+
+def test_lines_compared_by_words_may_differ_in_characters(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "LONG", 40)
+    line = "the quick brown foxes jumped over seventeen sleeping watchdogs of ours"
+    assert _first_of(spark, [line, line.replace("sleeping", "s" * 40)]) == {0: 0, 1: 0}
+
+
 def test_whole_lines_keep_repeated_rows_null_ids_and_clashing_names(spark):
     docs = [(None, "the same line of text\nanother line stands here"), (1, "the same line of text"), (1, "the same line of text"),
             (2, "a line of its own in this text\nThe same line, of text"), (3, None), (4, "")]
